@@ -23,8 +23,8 @@ from .textarray import Bloom, U, bloom_of, mix64, shingles, slices, words
 SLOTS = 128
 ROWS = 5  # of a band
 BANDS = 25
-#: Share of equal slots below which two sets can't reach 0.8: over eight standard deviations.
-SIGHT = 0.5
+#: Share of equal slots below which two sets don't reach 0.8: five standard deviations.
+SIGHT = 0.62
 #: Buckets up to this size are compared in full at once; larger ones around centres first.
 SMALL = 16
 
@@ -228,16 +228,64 @@ def pair_links(spark: SparkSession, docs: DataFrame, reps: DataFrame, k: int, nu
     # per bucket one row for each component in it, and only buckets with more than one
     parts = joined.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     split = s.save(
-        parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", -F.col("root"))).alias("main")).where("parts > 1"), "split"
+        parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", -F.col("root"))).alias("main")).where("parts > 1").drop("parts"), "split"
     )
     if split.isEmpty():
         return links
-    left = s.save(joined.join(split, "bucket"), "left")
-    outside = left.where("root <> main").select("bucket", F.col("rep").alias("x"), F.col("root").alias("rx"))
-    cross = outside.join(left.select("bucket", F.col("rep").alias("y"), F.col("root").alias("ry")), "bucket").where("rx <> ry")
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = s.save(cross, "cross")
-    if more.isEmpty():
-        return links
-    found = linker.links(more)
+    # who shares a bucket with a main component without being in it; each main component is one scope
+    outside = s.save(joined.join(split, "bucket").where("root <> main").select(F.col("main").alias("scope"), "rep", "root").distinct(), "outside")
+    scopes = outside.select("scope").distinct()
+    inside = roots.toDF("rep", "root").join(scopes.withColumnRenamed("scope", "root"), "root").select(F.col("root").alias("scope"), "rep", "root")
+    alone = scopes.join(roots.select(F.col("root").alias("scope")).distinct(), "scope", "left_anti").select("scope", F.col("scope").alias("rep"), F.col("scope").alias("root"))
+    cast = outside.withColumn("main", F.lit(False)).union(inside.union(alone).withColumn("main", F.lit(True)))
+    found = blockwise(s, docs, s.save(cast, "cast"), reps, k, num, den)
     return s.save(links.union(found), "links-whole")
+
+
+#: Documents of a block, of which two at a time are compared in one call.
+BLOCK = 128
+
+
+def blockwise(s: Scratch, docs: DataFrame, cast: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Links between the components of each scope, from comparing blocks of its members in full.
+
+    Members outside the main component meet all others of the scope. A block pair gives one
+    link at most for each outsider and component: more can't change what is connected.
+    """
+    ends = s.save(cast.select(F.col("rep").alias("doc_id")).distinct(), "cast-ids")
+    sets = shingle_sets(docs, k, bloom_of(ends, "doc_id")).join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    full = s.save(
+        cast.join(reps.select("rep", "sig"), "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep").dropDuplicates(["scope", "rep"]), "cast-sets"
+    )
+    many = full.groupBy("scope", "main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = full.join(many, ["scope", "main"]).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int"))
+    blocks = s.save(placed.groupBy("scope", "main", "block").agg(F.collect_list(F.struct("rep", "root", "sig", "shingles")).alias("members")), "blocks")
+    left = blocks.where("not main").select("scope", F.col("block").alias("i"), F.col("members").alias("x"))
+    right = blocks.select("scope", "main", F.col("block").alias("j"), F.col("members").alias("y"))
+    pairs = left.join(right, "scope").where("main or i <= j").select("x", "y")
+
+    def compare(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                x, y = (batch.column(c).slice(at, 1).flatten() for c in (0, 1))
+                sx, sy = (np.frombuffer(b"".join(m.field("sig").to_pylist()), np.uint16).reshape(len(m), -1) for m in (x, y))
+                (ix, rx), (iy, ry) = ((m.field("rep").to_numpy(), m.field("root").to_numpy()) for m in (x, y))
+                own = [v.values.to_numpy() for v in x.field("shingles")]
+                sizes = np.array([len(v) for v in y.field("shingles")])
+                values, owner = y.field("shingles").flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+                found = []
+                for a in range(len(ix)):
+                    mine = np.sort(own[a])
+                    near = (ry != rx[a]) & ((sy == sx[a]).mean(axis=1) >= SIGHT)
+                    if not near.any() or not len(mine):
+                        continue
+                    use = near[owner]
+                    spot = np.minimum(np.searchsorted(mine, values[use]), len(mine) - 1)
+                    common = np.bincount(owner[use], mine[spot] == values[use], minlength=len(sizes))
+                    good = np.flatnonzero(near & (common * den >= (len(mine) + sizes - common) * num))
+                    _, first = np.unique(ry[good], return_index=True)
+                    found += [(min(ix[a], iy[b]), max(ix[a], iy[b])) for b in good[first]]
+                yield pa.RecordBatch.from_arrays([pa.array([int(f[i]) for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    small = pairs.repartition(F.col("x")[0]["rep"], F.col("y")[0]["rep"])
+    return small.mapInArrow(compare, "a long, b long").distinct()

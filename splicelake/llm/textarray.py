@@ -39,18 +39,28 @@ VALUES = byte_table(1)
 #: An odd base and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-_powers = [np.ones(1, U), np.ones(1, U)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse."""
-    if len(_powers[0]) < n:
-        size = 1 << max(20, int(n - 1).bit_length())
-        for k, base in enumerate((BASE, INVERSE)):
-            out = np.full(size, base, U)
-            out[0] = 1
-            _powers[k] = np.multiply.accumulate(out)
-    return _powers[0][:n], _powers[1][:n]
+
+
+class Powers:
+    """The powers of the base and of its inverse, kept for the life of a process and never pickled."""
+
+    def __init__(self):
+        self.held = [np.ones(1, U), np.ones(1, U)]
+
+    def __reduce__(self):
+        return Powers, ()
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.held[0]) < n:
+            size = 1 << max(20, int(n - 1).bit_length())
+            for k, base in enumerate((BASE, INVERSE)):
+                out = np.full(size, base, U)
+                out[0] = 1
+                self.held[k] = np.multiply.accumulate(out)
+        return self.held[0][:n], self.held[1][:n]
+
+
+powers = Powers()
 
 
 class Slice(NamedTuple):
