@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import linedup, minhash, mixing, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,8 +17,20 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, _read(spark, sf_dir, "documents"), k=2)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, _read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.line_dedup(spark, _read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_minhash": op3_minhash}
+    return {f.__name__: f for f in (op3_minhash, op8_mixing, op9_toxicity, op10_linededup)}
 
 
 def oracle_sql() -> dict[str, str]:
