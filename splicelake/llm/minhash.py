@@ -208,6 +208,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, similarity
     )
 
 
+def without_copies(spark: SparkSession, docs: DataFrame, k: int = 5) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group, and one of repeated rows; rows without a doc_id stay."""
+    kept = near_duplicates(spark, docs, k).where("kept and doc_id is not null").select("doc_id").distinct()
+    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("_hash", F.xxhash64("text"))
+    return known.dropDuplicates(["doc_id", "_hash"]).drop("_hash").union(docs.where("doc_id is null"))
+
+
 def pair_links(spark: SparkSession, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int, s: Scratch) -> DataFrame:
     """Verified links between representatives: enough of them for the components to be whole."""
     linker = Linker(docs, reps, k, num, den, s)

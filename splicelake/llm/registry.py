@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linedup, minhash, mixing, toxicity
+from . import decontamination, linedup, minhash, mixing, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, _read(spark, sf_dir, "documents"), k=2)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, _read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -29,8 +33,14 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.line_dedup(spark, _read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_minhash, op8_mixing, op9_toxicity, op10_linededup)}
+    return {f.__name__: f for f in (op3_minhash, op6_decontamination, op8_mixing, op9_toxicity, op10_linededup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -96,12 +96,20 @@ class Words(NamedTuple):
     hash: np.ndarray
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Letters and digits; every byte of a character beyond ASCII counts as a letter.
+ALNUM = np.zeros(256, bool)
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[0x80:] = True
+LETTER = ALNUM.copy()
+LETTER[48:58] = False
+
+
+def runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of the longest runs of bytes for which the table ``inside`` holds."""
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, none
-    solid = ~WHITE[data]
+    solid = inside[data]
     opens, closes = np.ones(n, bool), np.ones(n, bool)
     opens[1:] = ~solid[:-1]
     closes[:-1] = ~solid[1:]
@@ -113,6 +121,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.searchsorted(offsets, start, side="right") - 1, start, end
 
 
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return runs(data, offsets, ~WHITE)
+
+
 def running(data: np.ndarray, table: np.ndarray = VALUES) -> np.ndarray:
     """Sums from which ``span_hash`` reads the hash of any span of bytes."""
     p, _ = powers(len(data) + 1)

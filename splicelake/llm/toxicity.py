@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import labelled
-from .textarray import LOWER, U, mix64, running, slices, span_hash
+from .textarray import LETTER, LOWER, U, mix64, running, runs, slices, span_hash
 
 BITS = 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -39,11 +39,6 @@ IDENTITY = {
 _GROUPS = {term: (neutral, terms.split()) for neutral, terms in IDENTITY.items() for term in terms.split()}
 _TERM = re.compile(r"(?<![^\W\d_])(" + "|".join(sorted(map(re.escape, _GROUPS), key=len, reverse=True)) + r")(?![^\W\d_])", re.IGNORECASE)
 
-LETTER = np.zeros(256, bool)
-LETTER[97:123] = True
-LETTER[65:91] = True
-LETTER[0x80:] = True
-
 
 def swapped(text: str) -> list[str]:
     """The text with each identity term made another one, and with each made neutral; none if it has no such term."""
@@ -58,17 +53,11 @@ def swapped(text: str) -> list[str]:
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, feature), distinct and sorted, and the letter runs of each row."""
+    """(row, feature), distinct and sorted, and the number of letter runs of each row."""
     rows, n = len(offsets) - 1, len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(rows, np.int64)
-    solid = LETTER[data]
-    opens, closes = np.ones(n, bool), np.ones(n, bool)
-    opens[1:], closes[:-1] = ~solid[:-1], ~solid[1:]
-    bounds = offsets[(offsets > 0) & (offsets < n)]
-    opens[bounds], closes[bounds - 1] = True, True
-    start, end = np.flatnonzero(solid & opens), np.flatnonzero(solid & closes) + 1
-    row = np.searchsorted(offsets, start, side="right") - 1
+    row, start, end = runs(data, offsets, LETTER)
     sums = running(LOWER[data])
     mask = U((1 << BITS) - 1)
     keys = [row << BITS | (span_hash(sums, start, end) & mask).astype(np.int64)]
@@ -217,7 +206,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier lets pass, with all their columns."""
-    model = fit(labelled.sample(docs, labels, "toxic", ~held_out(F.col("doc_id"))))
+def without_toxic(docs: DataFrame, labels: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+    """The documents that the classifier lets pass, with all their columns. Texts to learn from are those of ``fit_on``, else of ``docs``."""
+    model = fit(labelled.sample(docs if fit_on is None else fit_on, labels, "toxic", ~held_out(F.col("doc_id"))))
     return score(docs, model, tuple(docs.columns)).where(F.col("tox_score") < model.threshold).drop("tox_score")
