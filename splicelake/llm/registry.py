@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, linedup, minhash, mixing, quality, toxicity
+from . import decontamination, htmltext, language, linedup, media, minhash, mixing, quality, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,10 +17,22 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(_read(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _read(spark, sf_dir, "pages"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, _read(spark, sf_dir, "documents"), k=2)
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_read(spark, sf_dir, "pages"))
+
+
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media(spark, _read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -48,8 +60,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op3_minhash, op6_decontamination, op7_quality, op8_mixing, op9_toxicity, op10_linededup, pipeline)}
+    return {f.__name__: f for f in (op1_language, op2_warc, op3_minhash, op4_html, op5_media, op6_decontamination, op7_quality, op8_mixing, op9_toxicity, op10_linededup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_html": htmltext.ORACLE_SQL}
