@@ -27,8 +27,8 @@ SPREAD = 0.5  # least share of surroundings among those texts
 def _keys(line: Column) -> Column:
     """The leaves of a line, as hashes; empty for short lines."""
     masked = F.when(line.rlike(r"\d"), F.regexp_replace(line, r"\S*\d\S*", "<*>")).otherwise(line)
-    # a let-binding: the tokens are computed once
-    return F.flatten(F.transform(F.array(F.split(F.trim(F.regexp_replace(masked, r"\s+", " ")), " ")), _leaves))
+    # a let-binding: the tokens, what stands between spaces, are computed once
+    return F.flatten(F.transform(F.array(F.split(F.trim(masked), " ")), _leaves))
 
 
 def _leaves(tokens: Column) -> Column:
@@ -87,7 +87,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, texts: int = TEXTS, spread:
     )
     gone = s.save(gone, "gone")
     lines = F.split("text", "\n")
-    joined = docs.withColumn("_own", F.xxhash64("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_hash")), "left")
+    # what is gone grows with the documents: a merge join at every size
+    joined = docs.withColumn("_own", F.xxhash64("text")).join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_hash")), "left")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return joined.withColumns(
         {
