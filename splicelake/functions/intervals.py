@@ -74,7 +74,14 @@ def utr_regions(exons: Column, cds: Column, strand: Column) -> dict[str, Column]
 
 
 def percent(n: Column, total: Column) -> Column:
-    """Share in percent to one decimal, 0 of nothing. Halves round by their binary value, as Python's ``round`` does."""
-    share = F.coalesce(F.try_divide(n.cast("double") * 100, total), F.lit(0.0))
-    # the exact decimal expansion of a double decides ties
-    return F.round(share.cast("decimal(38,20)"), 1).cast("double")
+    """Share in percent to one decimal, 0 of nothing. The exact binary value decides on halves, as Python's ``round`` has it.
+
+    The half above ``j`` tenths is ``c / 20``: scaling by powers of two and a difference of
+    two numbers within a factor of two are exact, so the comparison is.
+    """
+    x = F.coalesce(F.try_divide(n.cast("double"), total.cast("double")) * 100, F.lit(0.0))
+    j = F.floor(x * 10)
+    c = (j * 2 + 1).cast("double")
+    rest = c - x * 16
+    up = (x * 4 > rest) | ((x * 4 == rest) & (j % 2 == 1))
+    return (j + up.cast("int")) / 10
