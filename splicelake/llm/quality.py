@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import labelled
 from .textarray import ALNUM, LETTER, U, slices, words
 
-BINS = 12
+BINS = 13
 
 
 def _table(chars: bytes) -> np.ndarray:
@@ -142,22 +142,22 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     both = np.concatenate((positive, unlabelled))
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros((0, BINS - 1)), np.zeros((0, BINS)), 1.0 if len(positive) else -1.0, 0.5)
-    # half of the cuts by rank, half by value beyond the body: rare kinds of junk stand at the ends
-    q = np.concatenate((np.linspace(0.002, 0.05, 3), np.linspace(0.2, 0.8, BINS - 7), np.linspace(0.95, 0.998, 3)))
-    edges = np.quantile(both, q, axis=0).T
+    # cuts by rank, closer at the ends, where rare kinds of junk stand; and one between nothing and anything
+    q = np.concatenate((np.linspace(0.002, 0.05, 3), np.linspace(0.2, 0.8, BINS - 8), np.linspace(0.95, 0.998, 3)))
+    edges = np.sort(np.concatenate((np.quantile(both, q, axis=0).T, np.full((both.shape[1], 1), 1e-9)), axis=1), axis=1)
     p, u = _binned(positive, edges), _binned(unlabelled, edges)
     k = len(edges) * BINS
     # which are labelled, for the prior
     wp, bp = _train(p, u, k, lambda zp, zu: ((_sigmoid(zp) - 1) / len(p), _sigmoid(zu) / len(u)), 150)
     prior = class_prior(wp[p].sum(axis=1) + bp, wp[u].sum(axis=1) + bp)
 
-    def gradient(zp, zu):
-        negative = np.log1p(np.exp(np.clip(zu, -30, 30))).mean() - prior * np.log1p(np.exp(np.clip(zp, -30, 30))).mean()
-        plus = prior * (_sigmoid(zp) - 1) / len(p)
-        if negative >= 0:
-            return plus - prior * _sigmoid(zp) / len(p), _sigmoid(zu) / len(u)
+    def gradient(zp, zu):  # of the bounded sigmoid loss: an estimate of the prior that is a little high then matters little
+        sp, su = _sigmoid(zp), _sigmoid(zu)
+        dp, du = sp * (1 - sp) / len(p), su * (1 - su) / len(u)
+        if su.mean() - prior * sp.mean() >= 0:
+            return -2 * prior * dp, du
         # the part below zero is overfitting: step back from it
-        return prior * _sigmoid(zp) / len(p), -_sigmoid(zu) / len(u)
+        return prior * dp, -du
 
     w, b = _train(p, u, k, gradient)
     return Model(edges, w.reshape(len(edges), BINS), float(b), prior)
