@@ -264,8 +264,10 @@ def blockwise(s: Scratch, docs: DataFrame, cast: DataFrame, reps: DataFrame, k:
     full = s.save(
         cast.join(reps.select("rep", "sig"), "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep").dropDuplicates(["scope", "rep"]), "cast-sets"
     )
-    many = full.groupBy("scope", "main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    many = s.save(full.groupBy("scope", "main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "many")
     placed = full.join(many, ["scope", "main"]).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int"))
+    # dealt by block: a partitioning by scope alone would put a large scope into one task
+    placed = placed.repartition("scope", "main", "block")
     blocks = s.save(placed.groupBy("scope", "main", "block").agg(F.collect_list(F.struct("rep", "root", "sig", "shingles")).alias("members")), "blocks")
     left = blocks.where("not main").select("scope", F.col("block").alias("i"), F.col("members").alias("x"))
     right = blocks.select("scope", "main", F.col("block").alias("j"), F.col("members").alias("y"))
