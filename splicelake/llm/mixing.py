@@ -101,3 +101,23 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
             "taken": F.col("size") * (F.col("_rounds") + once.cast("long")),
         }
     ).drop("_u", "_source", "_source_size", "_target", "_rounds", "_below", "_at")
+
+
+#: The same mix by sorting: targets from the order in which sources fill up, thresholds from running sums over all hashes.
+ORACLE_SQL = r"""
+with d as (select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) size,
+  ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 8))::bigint u from documents),
+s as (select source, cast(sum(size) as bigint) n from d group by 1),
+w as (select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end w from s),
+o as (select *, row_number() over (order by 3.0 * n / w, source) k from w),
+c as (select *, (select sum(n) from w) - coalesce(sum(3 * n) over (order by k rows between unbounded preceding and 1 preceding), 0) budget, sum(w) over (order by k rows between current row and unbounded following) left_w from o),
+x as (select min(k) k from c where w * (cast(budget as double) / left_w) <= 3 * n),
+t as (select o.*, case when o.k < x.k then cast(3 * o.n as double) else o.w * (select cast(budget as double) / left_w from c where c.k = x.k) end target from o, x),
+r as (select *, case when n > 0 then floor(target / n) else 0 end rounds from t),
+h as (select source, u, sum(size) words from d group by 1, 2),
+m as (select *, sum(words) over (partition by source order by u) up_to from h),
+b as (select m.source, min(u) edge from m join r on m.source is not distinct from r.source where up_to > target - rounds * n group by 1),
+e as (select b.source, b.edge, m.up_to - (r.target - r.rounds * r.n) < (r.target - r.rounds * r.n) - (m.up_to - m.words) near from b join m on b.source is not distinct from m.source and b.edge = m.u join r on r.source is not distinct from b.source)
+select doc_id, size, r.n source_size, r.target, cast(size * (r.rounds + case when d.u < e.edge or d.u = e.edge and e.near then 1 else 0 end) as bigint) taken
+from d join r on d.source is not distinct from r.source left join e on d.source is not distinct from e.source
+"""

@@ -199,3 +199,15 @@ def round_trip(spark: SparkSession, pages: DataFrame, least: int = 0) -> DataFra
         "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to", "url", F.col("payload_bytes").isNotNull().alias("intact")
     )
     return responses.union(revisits)
+
+
+_LETTERS = " || ".join(
+    f"substr('{BASE32}', cast(((('0x' || substr(sha, {5 * g + 1}, 5))::int >> {k}) & 31) + 1 as bigint), 1)" for g in range(8) for k in (15, 10, 5, 0)
+)
+#: What archives of ``pages`` hold, by SHA-1 alone.
+ORACLE_SQL = f"""
+with p as (select page_id, url, coalesce(html, '') h, sha1(coalesce(html, '')) sha from pages),
+f as (select *, min(page_id) over (partition by sha) first from p)
+select page_id, cast(strlen(h) as bigint) payload_bytes, {_LETTERS} payload_digest, case when page_id = first then 'response' else 'revisit' end record_type,
+  case when page_id <> first then first end refers_to, regexp_replace(url, '[\r\n]', ' ', 'g') url, true intact from f
+"""
