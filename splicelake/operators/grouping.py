@@ -9,6 +9,7 @@ from ..functions.intervals import longest_smallest_id, overlap_ratio, overlaps
 
 STRAND_KEY = ("seqname", "strand")
 BIN = 1 << 20
+EXON_BIN = 1 << 12
 
 
 def overlap_groups(t: DataFrame, keys: tuple[str, ...] = STRAND_KEY, bin_size: int = BIN) -> DataFrame:
@@ -57,10 +58,14 @@ def consensus_groups(g: DataFrame, keys: tuple[str, ...] = (*STRAND_KEY, "locus"
     """
     keys = tuple(keys)
     ends = g.select(*keys, "transcript_id", F.col("exons")[0].alias("f"), F.element_at("exons", -1).alias("l"))
-    a, b = ends.alias("a"), ends.alias("b")
-    same = F.expr(" and ".join(f"a.{k} = b.{k}" for k in keys))
+    # first exons that overlap share a bin, the first one of their overlap counts: no pair twice, and a deep locus is dealt out
+    bins = F.explode(F.sequence(F.floor(F.col("f.s") / EXON_BIN), F.floor(F.col("f.e") / EXON_BIN)))
+    binned = ends.withColumn("_bin", bins)
+    a, b = binned.alias("a"), binned.alias("b")
+    same = F.expr(" and ".join(f"a.{k} = b.{k}" for k in (*keys, "_bin")))
+    first = F.col("a._bin") == F.floor(F.greatest("a.f.s", "b.f.s") / EXON_BIN)
     near = overlaps(F.col("a.f.s"), F.col("a.f.e"), F.col("b.f.s"), F.col("b.f.e")) & overlaps(F.col("a.l.s"), F.col("a.l.e"), F.col("b.l.s"), F.col("b.l.e"))
-    pairs = a.join(b, same & ((F.col("a.transcript_id") == F.col("b.transcript_id")) | near))
+    pairs = a.join(b, same & first & ((F.col("a.transcript_id") == F.col("b.transcript_id")) | near))
     ego = pairs.groupBy(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.transcript_id").alias("_a")).agg(F.sort_array(F.collect_set("b.transcript_id")).alias("m"))
     sets = ego.select(*keys, "m").distinct().withColumn("t", F.explode("m"))
     best = Window.partitionBy(*keys, "t").orderBy(F.size("m").desc(), F.col("m")[0].desc(), F.col("m").asc())
