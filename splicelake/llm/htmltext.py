@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +40,7 @@ _MARKS = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>|<[!?][^>]*>|<[/a-zA-Z!?][^<>]*\Z", re.DOTALL)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^><])*+)>|<[!?][^<>]*>|<[/a-zA-Z!?][^<>]*\Z", re.DOTALL)
 _CLOSE = {name: re.compile(rf"</{name}[^>]*>", re.IGNORECASE) for name in RAW}
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -77,12 +78,15 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, str]] = []  # open elements and what their text is
     current: Block | None = None
+    names: Counter[str] = Counter()  # of the stack
+    marks: Counter[str] = Counter()
     at, breaks = 0, 0
-    links = 0
 
-    def place() -> str:
-        marks = [m for _, m in stack]
-        return "aside" if "aside" in marks else "main" if "main" in marks else ""
+    def close(k: int) -> None:
+        for name, mark in stack[k:]:
+            names[name] -= 1
+            marks[mark] -= 1
+        del stack[k:]
 
     def add(text: str) -> None:
         nonlocal current
@@ -91,10 +95,10 @@ def blocks(page: str) -> list[Block]:
         if current is None:
             if not text.strip():
                 return
-            current = Block(place(), any(n in HEADINGS for n, _ in stack))
+            current = Block("aside" if marks["aside"] else "main" if marks["main"] else "", any(names[h] for h in HEADINGS))
             out.append(current)
         current.parts.append(text)
-        if links:
+        if names["a"]:
             current.linked += len(text)
 
     while at < len(page):
@@ -126,22 +130,19 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    links -= sum(n == "a" for n, _ in stack[k:])
-                    del stack[k:]
-                    break
+            if names[name] > 0:
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             continue
         if name in BLOCK and stack:
             # an open paragraph ends where a block begins, and what is inline in it too
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK), -1)
             if k >= 0 and stack[k][0] == "p" or k >= 0 and name == stack[k][0] and name in ("li", "dd", "dt", "td", "th", "tr", "option"):
-                links -= sum(n == "a" for n, _ in stack[k:])
-                del stack[k:]
+                close(k)
         if m[3].endswith("/") and name not in BLOCK:
             continue
-        stack.append((name, _mark(name, m[3], any(x == "main" for _, x in stack))))
-        links += name == "a"
+        stack.append((name, _mark(name, m[3], marks["main"] > 0)))
+        names[name] += 1
+        marks[stack[-1][1]] += 1
     return out
 
 

@@ -173,7 +173,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, similarity
     ``similarity`` (a fraction of 0.8 or more) of their union in common; a component is what links reach,
     its id the smallest doc_id. Texts that are null or without words have an empty
     set and are linked with nothing. Repeated rows give repeated equal rows; rows
-    with one doc_id and different texts stand in the component of each text's set.
+    with one doc_id and different texts are one document, for which either text may stand when links are looked for.
     A row without a doc_id is its own component, null. An empty table gives no rows.
 
     Equal sets become one class before anything is paired. The classes of a bucket
