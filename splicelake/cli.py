@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--add", nargs="*", default=(), choices=sorted(ADD))
     p.add_argument("--disable", nargs="*", default=(), choices=sorted(DISABLE))
     p.add_argument("--keep", nargs="*", default=(), choices=sorted(KEEP))
+    p.add_argument("--overwrite", action="store_true", help="write over the results of an earlier run; other files stay")
     p.add_argument("--semantics", default="reference", choices=("reference", "corrected"))
     p.add_argument("--fastq-manifest", metavar="DIR", help="only print the pairs of read files in a folder")
     p.add_argument("--report-only", metavar="GTF", help="only write the report of one annotation")
@@ -43,11 +44,10 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("add", "disable", "keep"):
         a[name] = frozenset(a[name])
     try:
-        config = Config(**{k: tuple(v) if isinstance(v, list) else v for k, v in a.items()}).checked()
+        Run(spark, Config(**{k: tuple(v) if isinstance(v, list) else v for k, v in a.items()}))()
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2
-    Run(spark, config)()
     return 0
 
 

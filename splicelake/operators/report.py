@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.intervals import chain, percent
 from ..functions.lineage import cut
 from . import location, structure
-from .grouping import STRAND_KEY, consensus_groups, intronic, overlap_groups
+from .grouping import consensus_groups, intronic, overlap_groups
 from .structure import LOCUS
 
 PERCENTILES = (0, 1, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55, 60, 65, 70, 75, 80, 85, 90, 95, 99, 100)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lineage import cut
+from ..functions.lineage import cut, exists
 from ..operators import finish, location, redundancy, report, structure, support
 from ..sources import files, model, sinks
 from .config import Config
@@ -37,7 +37,10 @@ class Run:
         rows = files.annotations(self.spark, files.annotation_manifest(self.spark, folder))
         t, missing = model.build(rows)
         sinks.write_table(missing, self.c.folder("report", f"missing_exons_{folder.rstrip('/').rpartition('/')[2]}"), ["transcript_id"])
-        return rows, cut(t)
+        t = cut(t)
+        if t.isEmpty():
+            raise ValueError(f"no transcript in {folder}")
+        return rows, t
 
     def assemblies(self) -> tuple[DataFrame, DataFrame]:
         c = self.c
@@ -54,6 +57,8 @@ class Run:
     def __call__(self) -> DataFrame:
         """Run all stages, write the results, and return the final transcripts with their new ids."""
         c = self.c
+        if not c.overwrite and exists(self.spark, c.folder()):
+            raise ValueError(f"{c.folder()} exists; overwrite it or choose another name")
         parts = [self.assemblies()] if c.assemblies else []
         if c.references:
             parts.append(self.read(c.references))

@@ -10,15 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.lineage import exists
 from ..operators.redundancy import merge_winners
 
 
-def _exists(df: DataFrame, path: str) -> bool:
-    jvm = df.sparkSession.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).exists(at)
-
-
 def winners(transcripts: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Keep under ``path`` one version per batch, ``v=<batch>``, of the winners of a stream of multi-exonic transcripts.
 
@@ -28,7 +23,7 @@ def winners(transcripts: DataFrame, path: str, checkpoint: str, available_now: b
     def merge(batch: DataFrame, number: int) -> None:
         before = f"{path}/v={number - 1}"
         batch = batch.where("n_exons > 1")
-        old = batch.sparkSession.read.parquet(before) if number and _exists(batch, before) else batch.limit(0)
+        old = batch.sparkSession.read.parquet(before) if number and exists(batch.sparkSession, before) else batch.limit(0)
         merge_winners(old, batch).write.mode("overwrite").parquet(f"{path}/v={number}")
 
     writer = transcripts.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

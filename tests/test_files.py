@@ -137,6 +137,10 @@ def test_run_over_references(spark, tmp_path, annotation):
     assert "TXNAME,GENEID" in text(out / "mapping") and "Original_ID,Novel_id" in text(out / "lookup" / "gene_ids")
     assert "multi_isoform\t1\t2" in text(out / "report" / "numbers_gene_categories")
     assert "c1\tsrc\texon\t100\t200\t.\t+" in text(out / "padded")
+    assert main(["--references", str(annotation), "--outpath", str(tmp_path), "--outname", "out"]) == 2  # it is there already
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.gtf").write_text("# nothing\n")
+    assert main(["--references", str(tmp_path / "none"), "--outpath", str(tmp_path), "--outname", "new"]) == 2
 
 
 def test_run_over_assemblies(spark, tmp_path, annotation):
