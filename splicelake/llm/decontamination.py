@@ -1,19 +1,25 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are windows of words. Benchmark passages become TF-IDF vectors, whose
-IDF counts the passages of the whole corpus, and a randomised SVD, its sums
-formed in the tasks, gives the latent space. Every passage of every document is
-projected into it; pairs of high cosine are candidates, which the longest common
-subsequence of words and a check of the answer then confirm or reject. A passage
-whose known words can't reach the cosine at all (Cauchy-Schwarz) isn't projected.
+IDF counts the passages of the whole corpus, and randomised SVDs of blocks of at
+most ``RANK`` of them, their sums formed in the tasks, give latent spaces. Stretches
+of the documents that hold enough of a passage's rarer words are projected; pairs
+that hold enough of its weight are candidates, which the longest common subsequence
+of words and a check of the answer then confirm or reject. Both tests before it
+follow from what it asks for (so many words of the passage must be there), so they
+lose nothing: no pair is left out for a low cosine, which is only reported.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +27,16 @@ from .scratch import Scratch
 from .textarray import ALNUM, LOWER, U, running, runs, slices, span_hash
 
 WINDOW, STRIDE = 64, 32
+SCALES = (64,)  # windows of documents: a passage is searched in the smallest that takes it
 DIMENSIONS = 1 << 15  # of the hashed TF-IDF space
 KNOWN_BITS = 1 << 22  # of the table that tells benchmark words from others
 RANK, EXTRA = 256, 16
 COMMON = 0.02  # share of passages from which a word tells nothing
-COSINE = 0.3
 LCS, LCS_WITH_ANSWER = 0.7, 0.5
+EXACT_BELOW = 8  # words of an item that must be contained word by word
 ANSWER_WORDS = 8
+COMMONEST = 0.25  # share of a passage's words that the first test leaves out, the commonest
+CELLS = 1 << 22  # numbers that the first test holds at once
 #: Benchmark passages held in a task at once; more are taken in turns, each a scan.
 AT_ONCE = 4096
 
@@ -40,15 +49,15 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return row, span_hash(running(LOWER[data]), start, end) if len(row) else np.zeros(0, U)
 
 
-def windows(row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(row: np.ndarray, rows: int, size: int = WINDOW, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, first and end token of each window; a row's last window ends with the row."""
     count = np.bincount(row, minlength=rows)
     first = np.concatenate(([0], np.cumsum(count)))[:-1]
-    n = np.where(count > 0, 1 + np.maximum(0, -(-(count - WINDOW) // STRIDE)), 0)
+    n = np.where(count > 0, 1 + np.maximum(0, -(-(count - size) // stride)), 0)
     own = np.repeat(np.arange(rows), n)
     step = np.arange(len(own)) - np.repeat(np.concatenate(([0], np.cumsum(n)))[:-1], n)
-    begin = first[own] + step * STRIDE
-    return own, begin, np.minimum(begin + WINDOW, first[own] + count[own])
+    begin = first[own] + step * stride
+    return own, begin, np.minimum(begin + size, first[own] + count[own])
 
 
 def expand(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +214,8 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFra
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``;
     other columns don't matter. Null and empty texts match nothing, repeated rows
     give one row, empty tables none. Items of fewer than 8 words must be contained
-    word by word. ``lcs`` is the share of the passage's words that stand in the document
+    word by word. An item's words are looked for in a window (of ``SCALES``) and as many
+    words as the item has on either side. ``lcs`` is the share of the passage's words that stand in the document
     in order, ``answer`` whether the words after "answer:", else the last eight, do.
     """
     s = Scratch(spark, "leaks")
@@ -220,60 +230,130 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFra
     if not len(used):
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, answer boolean")
     unknown = float(np.median(idf[used][idf[used] > 0])) if (idf[used] > 0).any() else 1.0
-    basis = randomised_svd(passages, idf, used, RANK)
     turns = max(1, -(-passages.count() // AT_ONCE))
     found = None
     for turn in range(turns):
-        block = passages.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(turns)) == turn).orderBy("item_id", "part").toArrow().combine_chunks()
-        if not block.num_rows:
+        held = passages.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(turns)) == turn).orderBy("item_id", "part").toArrow().combine_chunks()
+        if not held.num_rows:
             continue
-        one = _search(spark, docs, block.to_batches()[0], basis, idf, known, unknown)
-        found = one if found is None else found.union(one)
+        size = pc.list_value_length(held.column("words")).to_numpy()
+        scale = np.array(SCALES)[np.searchsorted(SCALES, size)]
+        blocks = []
+        for one in sorted(set(scale.tolist())):
+            at = np.flatnonzero(scale == one)
+            blocks += [_block(spark, held.take(at[k : k + RANK]).combine_chunks(), one, idf) for k in range(0, len(at), RANK)]
+        pairs = _search(spark, docs, blocks, idf, known, unknown)
+        found = pairs if found is None else found.union(pairs)
     best = s.save(found, "found").groupBy("doc_id", "item_id")
     return best.agg(F.max("cosine").alias("cosine"), F.max("lcs").alias("lcs"), F.max("answer").alias("answer"))
 
 
-def _search(spark: SparkSession, docs: DataFrame, block: pa.RecordBatch, basis, idf, known, unknown: float) -> DataFrame:
-    row, feature, w, n = rows_of(block, idf)
-    latent = _times(row, feature, w, n, basis)
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    # at most AT_ONCE passages, DIMENSIONS x RANK weights and the table of known words
-    held = spark.sparkContext.broadcast((latent, basis, idf, known, block.column("item_id").to_pylist(), block.column("words").to_pylist(), block.column("answer").to_pylist()))
+class Block(NamedTuple):
+    """At most ``RANK`` passages of one scale, with their own latent space."""
+
+    scale: int
+    place: np.ndarray  # of each feature in the basis; 0 is none
+    basis: np.ndarray  # a row of zeros, then one a feature of the block
+    latent: np.ndarray  # of each passage, projected unit rows
+    missed: np.ndarray  # norm of what the projection leaves of each unit row
+    weight: np.ndarray  # least x . row of any stretch x with enough of the passage's words
+    first: np.ndarray  # of the entries of each feature, by place: passages it is a rarer word of
+    entry: np.ndarray  # passage of each entry
+    times: np.ndarray  # words of the passage that the entry stands for
+    need: np.ndarray  # least number of those rarer words that must be there
+    counts: np.ndarray  # by place: the words of each passage, then the different ones of its answer
+    enough: np.ndarray  # words of each passage that must be there, that suffice without its answer, and of the answer
+    items: list
+    words: list
+    answers: list
+
+
+def _block(spark: SparkSession, table: pa.Table, scale: int, idf: np.ndarray) -> Block:
+    batch = table.to_batches()[0]
+    row, feature, w, n = rows_of(batch, idf)
+    used = np.unique(feature)
+    whole = randomised_svd(spark.createDataFrame(table), idf, used, RANK)
+    latent = _times(row, feature, w, n, whole)
+    words, answers = batch.column("words").to_pylist(), batch.column("answer").to_pylist()
+    said = [np.unique(feature_of(np.array(a, np.int64).view(U))) for a in answers]
+    used = np.union1d(used, np.concatenate(said))
+    place = np.zeros(DIMENSIONS, np.int32)
+    place[used] = np.arange(1, len(used) + 1)
+    counts, enough = np.zeros((len(used) + 1, -(-2 * n // 8) * 8), np.uint8), np.zeros((3, n), np.int64)
+    entries, need, least = [], np.zeros(n, np.int64), np.zeros(n)
+    for q, item in enumerate(words):
+        got, times = np.unique(feature_of(np.array(item, np.int64).view(U)), return_counts=True)
+        must = len(item) if len(item) < EXACT_BELOW else math.ceil(LCS_WITH_ANSWER * len(item) - 1e-9)
+        counts[place[got], q] = times
+        counts[place[said[q][:255]], n + q] = 1
+        enough[:, q] = must, max(must, math.ceil(LCS * len(item) - 1e-9)), len(said[q][:255]) or 256
+        order = np.argsort(idf[got], kind="stable")  # commonest first
+        got, times = got[order], times[order]
+        rarer = np.cumsum(times) > COMMONEST * len(item)
+        need[q] = must - times[~rarer].sum()
+        entries += [(place[f], q, t) for f, t in zip(got[rarer], times[rarer], strict=True)]
+        # the least weight of words that are ``must`` in number: cheapest first, the last in part
+        power = idf[got].astype(float) ** 2
+        cheap = np.argsort(power / times, kind="stable")
+        before = np.cumsum(times[cheap]) - times[cheap]
+        part = np.clip((must - before) / times[cheap], 0, 1)
+        least[q] = (power[cheap] * part).sum() / max(math.sqrt(power.sum()), 1e-9)
+    entries = np.array(sorted(entries), np.int64).reshape(-1, 3)
+    first = np.searchsorted(entries[:, 0], np.arange(len(used) + 2))
+    basis = np.concatenate((np.zeros((1, whole.shape[1]), np.float32), whole[used]))
+    missed = np.sqrt(np.maximum(0, 1 - (latent.astype(float) ** 2).sum(axis=1)))
+    return Block(scale, place, basis, latent, missed, least, first, entries[:, 1], entries[:, 2], need, counts, enough, batch.column("item_id").to_pylist(), words, answers)
+
+
+def _likely(b: Block, place: np.ndarray, row: np.ndarray, begin: np.ndarray, own: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Window and passage of all pairs with enough rarer words in the window or as far before or after it as it is long.
+
+    Words are counted by cells of half a window, a word in two cells twice: never too few.
+    """
+    stride = b.scale // 2
+    cells = -(-count // stride)
+    before = np.concatenate(([0], np.cumsum(cells)))
+    first = np.concatenate(([0], np.cumsum(count)))
+    at = np.flatnonzero(b.first[place + 1] > b.first[place])
+    key = np.unique((before[row[at]] + (at - first[row[at]]) // stride) * len(b.basis) + place[at])
+    cell, place = key // len(b.basis), key % len(b.basis)
+    which, entry = expand(b.first[place], b.first[place + 1])
+    cell, passage, times = cell[which], b.entry[entry], b.times[entry]
+    step = before[own] + (begin - first[own]) // stride
+    low, high = np.maximum(step - 2, before[own]), np.minimum(step + 4, before[own + 1])
+    width = max(1, CELLS // (int(before[-1]) + 1))
+    for start in range(0, len(b.need), width):
+        end = min(start + width, len(b.need))
+        mine = (passage >= start) & (passage < end)
+        sums = np.zeros((before[-1] + 1, end - start), np.int32)
+        sums[1:] = np.bincount(cell[mine] * (end - start) + passage[mine] - start, times[mine], minlength=before[-1] * (end - start)).reshape(before[-1], end - start)
+        np.cumsum(sums, axis=0, out=sums)
+        window, q = np.nonzero(sums[high] - sums[low] >= b.need[start:end])
+        yield window, q + start
+
+
+def _search(spark: SparkSession, docs: DataFrame, blocks: list[Block], idf, known, unknown: float) -> DataFrame:
+    # at most AT_ONCE passages, for each block the weights of its own features, and the table of known words
+    held = spark.sparkContext.broadcast((blocks, idf, known))
 
     def scan(batches):
-        latent, basis, idf, known, items, words, answers = held.value
+        blocks, idf, known = held.value
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for part in slices(batch.column(1)):
                 row, h = tokens(part.data, part.offsets)
-                own, begin, end = windows(row, len(part.offsets) - 1)
-                feature = feature_of(h)
+                if not len(row):
+                    continue
+                count = np.bincount(row, minlength=len(part.offsets) - 1)
+                first = np.concatenate(([0], np.cumsum(count)))
                 inside = known[known_place(h)]
+                feature = np.where(inside, feature_of(h), 0)
                 weight = np.where(inside, idf[feature], np.float32(unknown))
                 power = np.concatenate(([0.0], np.cumsum(weight.astype(float) ** 2)))
-                norm = np.sqrt(power[end] - power[begin]) + 1e-9
-                at = np.flatnonzero(inside & (weight > 0))
-                sums = np.concatenate(([0.0], np.cumsum(weight[at].astype(float) ** 2)))
-                lo, hi = np.searchsorted(at, begin), np.searchsorted(at, end)
-                near = np.flatnonzero(np.sqrt(sums[hi] - sums[lo]) >= COSINE * norm)
-                for some in np.array_split(near, max(1, len(near) // 512)):
-                    window, token = expand(lo[some], hi[some])
-                    window, hit = distinct(window, feature[at[token]])
-                    x = _times(window, hit, idf[hit], len(some), basis)
-                    cosine = x @ latent.T / norm[some, None]
-                    for i, q in zip(*np.nonzero(cosine >= COSINE), strict=True):
-                        item = words[q]
-                        a, b = np.searchsorted(row, [own[some[i]], own[some[i]] + 1])
-                        a, b = max(a, begin[some[i]] - len(item)), min(b, end[some[i]] + len(item))
-                        text = h[a:b].view(np.int64).tolist()
-                        share = lcs(item, text) / len(item)
-                        if share < LCS_WITH_ANSWER:
-                            continue
-                        said = bool(answers[q]) and lcs(answers[q], text) == len(answers[q])
-                        if len(item) < 8 and (share < 1 or not any(text[j : j + len(item)] == item for j in range(len(text)))):
-                            continue
-                        if share >= LCS or said:
-                            out.append((ids[part.first + own[some[i]]], items[q], float(cosine[i, q]), share, said))
+                for b in blocks:
+                    own, begin, end = windows(row, len(count), b.scale, b.scale // 2)
+                    for window, q in _likely(b, np.where(inside, b.place[feature], 0), row, begin, own, count):
+                        out += _confirmed(b, window, q, ids, part.first, own, begin, end, first, h, inside, feature, idf, power)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()))], names=["doc_id", "item_id", "cosine", "lcs", "answer"]
             )
@@ -281,6 +361,62 @@ def _search(spark: SparkSession, docs: DataFrame, block: pa.RecordBatch, basis,
     return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, item_id long, cosine double, lcs double, answer boolean")
 
 
+def _words_of(b: Block, begin, end, inside, feature) -> tuple[np.ndarray, np.ndarray]:
+    """Stretch and feature of the distinct words of the block's in stretches of tokens."""
+    window, token = expand(begin, end)
+    mine = inside[token] & (b.place[feature[token]] > 0)
+    return distinct(window[mine], feature[token[mine]])
+
+
+def _confirmed(b: Block, window, q, ids, row_of_slice, own, begin, end, first, h, inside, feature, idf, power) -> list[tuple]:
+    out, n = [], len(b.need)
+    order = np.argsort(window, kind="stable")
+    window, q = window[order], q[order]
+    near, back = np.unique(window, return_inverse=True)
+    for start in range(0, len(near), 512):
+        these = near[start : start + 512]
+        pair = slice(*np.searchsorted(back, [start, start + 512]))
+        of, item = back[pair] - start, q[pair]
+        stretch, hit = _words_of(b, np.maximum(begin[these] - b.scale, first[own[these]]), np.minimum(end[these] + b.scale, first[own[these] + 1]), inside, feature)
+        # as many words as the subsequence must have, and those of the answer where it counts
+        there = np.zeros((len(these), b.counts.shape[1]), np.uint8)
+        if len(stretch):
+            at = np.flatnonzero(np.diff(stretch, prepend=-1))
+            # eight bytes are added at once: none of the sums passes 255
+            there.view(U)[stretch[at]] = np.add.reduceat(b.counts.view(U)[b.place[hit]], at, axis=0)
+        must, alone, answer = b.enough[:, item]
+        fair = (there[of, item] >= must) & ((there[of, item] >= alone) | (there[of, n + item] >= answer))
+        of, item = of[fair], item[fair]
+        if not len(of):
+            continue
+        left, of_left = np.unique(of, return_inverse=True)
+        mine = np.isin(stretch, left)
+        stretch, hit = np.searchsorted(left, stretch[mine]), hit[mine]
+        x, norm = _times(stretch, b.place[hit], idf[hit], len(left), b.basis), np.sqrt(np.bincount(stretch, idf[hit].astype(float) ** 2, minlength=len(left)))
+        fair = np.einsum("ij,ij->i", x[of_left], b.latent[item]) >= b.weight[item] * 0.999 - norm[of_left] * (b.missed[item] + 1e-3)
+        good = []
+        for i, p in zip(these[of[fair]].tolist(), item[fair].tolist(), strict=True):
+            words = b.words[p]
+            text = h[max(first[own[i]], begin[i] - len(words)) : min(first[own[i] + 1], end[i] + len(words))].view(np.int64).tolist()
+            share = lcs(words, text) / len(words)
+            if share < LCS_WITH_ANSWER:
+                continue
+            said = bool(b.answers[p]) and lcs(b.answers[p], text) == len(b.answers[p])
+            if len(words) < EXACT_BELOW and (share < 1 or not any(text[j : j + len(words)] == words for j in range(len(text)))):
+                continue
+            if share >= LCS or said:
+                good.append((i, p, share, said))
+        if good:
+            at = np.array([g[0] for g in good])
+            stretch, hit = _words_of(b, begin[at], end[at], inside, feature)
+            x = _times(stretch, b.place[hit], idf[hit], len(at), b.basis)
+            norm = np.sqrt(power[end[at]] - power[begin[at]]) + 1e-9
+            unit = b.latent[[g[1] for g in good]]
+            cosine = np.einsum("ij,ij->i", x, unit) / norm / np.maximum(np.linalg.norm(unit, axis=1), 1e-9)
+            out += [(ids[row_of_slice + own[i]], b.items[p], float(c), share, said) for (i, p, share, said), c in zip(good, cosine, strict=True)]
+    return out
+
+
 def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item was found, with all their columns; those without doc_id stay."""
     found = leaks(spark, docs, benchmark).select("doc_id").distinct()

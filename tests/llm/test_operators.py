@@ -224,6 +224,46 @@ def test_leaks(spark):
     assert kept == {i for i, _, _ in rows} - {d for d, _ in want if d is not None}
 
 
+def zipf_words(rng, size=20_000):
+    weights = np.cumsum(1 / np.arange(1, size + 1))
+    return lambda n: [f"v{k}" for k in np.searchsorted(weights, rng.random(n) * weights[-1])]
+
+
+def plain_leaks(rows, items):
+    """All pairs by the longest common subsequence of every item and every stretch, without any test before it."""
+    out = set()
+    for doc, text in rows:
+        text = text.split()
+        for item, words in items:
+            words = words.split()
+            size = min(s for s in decontamination.SCALES if s >= len(words))
+            for at in range(0, max(1, len(text) - size // 2), size // 2):
+                part = text[max(0, at - len(words)) : at + size + len(words)]
+                share = decontamination.lcs(words, part) / len(words)
+                said = decontamination.lcs(words[-8:], part) == len(words[-8:])
+                if len(words) < 8:
+                    share, said = float(any(part[j : j + len(words)] == words for j in range(len(part)))), False
+                if share >= 0.7 or share >= 0.5 and said:
+                    out.add((doc, item))
+    return out
+
+
+def test_leaks_of_more_items_than_the_rank(spark):
+    rng = np.random.default_rng(1)
+    words = zipf_words(rng)
+    items = [(k, " ".join(words(40))) for k in range(1000)]
+    rows = []
+    for k in range(60):
+        said = items[k * 16][1].split()
+        for at in rng.choice(32, 8, replace=False) if k % 2 else []:
+            said[at] = "other"
+        rows.append((k, " ".join(words(30) + said + words(60)) if k % 3 else " ".join(words(130))))
+    want = plain_leaks(rows, items)
+    assert len(want) >= 40
+    got = decontamination.leaks(spark, docs(spark, [(i, t, "s") for i, t in rows]), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
 def test_leaks_of_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, "no id here at all"), (2, None)], "item_id long, text string")
     assert decontamination.leaks(spark, odd, bench).count() == 1
