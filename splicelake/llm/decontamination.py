@@ -31,7 +31,6 @@ SCALES = (64,)  # windows of documents: a passage is searched in the smallest th
 DIMENSIONS = 1 << 15  # of the hashed TF-IDF space
 KNOWN_BITS = 1 << 22  # of the table that tells benchmark words from others
 RANK, EXTRA = 256, 16
-COMMON = 0.02  # share of passages from which a word tells nothing
 LCS, LCS_WITH_ANSWER = 0.7, 0.5
 EXACT_BELOW = 8  # words of an item that must be contained word by word
 ANSWER_WORDS = 8
@@ -68,7 +67,8 @@ def expand(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def distinct(window: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    key = np.unique(window * DIMENSIONS + feature)
+    key = np.sort(window * DIMENSIONS + feature)
+    key = key[np.diff(key, prepend=-1) > 0]
     return key // DIMENSIONS, key % DIMENSIONS
 
 
@@ -224,12 +224,11 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFra
     known[passages.select(F.explode("words").alias("w")).select((F.col("w").bitwiseAND(KNOWN_BITS - 1)).alias("w")).distinct().toPandas().w.to_numpy(int)] = True
     df, total = _frequencies(docs, known)
     idf = np.log((total + 1) / (df + 1.0)).astype(np.float32) + 0.1
-    idf[df > COMMON * max(total, 100)] = 0.0
     shift = 20  # of feature_of
     used = np.sort(passages.select(F.explode("words").alias("w")).select(F.expr(f"shiftrightunsigned(w, {shift}) & {DIMENSIONS - 1}").alias("w")).distinct().toPandas().w.to_numpy(int))
     if not len(used):
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, answer boolean")
-    unknown = float(np.median(idf[used][idf[used] > 0])) if (idf[used] > 0).any() else 1.0
+    unknown = float(np.median(idf[used]))
     turns = max(1, -(-passages.count() // AT_ONCE))
     found = None
     for turn in range(turns):

@@ -264,6 +264,19 @@ def test_leaks_of_more_items_than_the_rank(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("n,copies", [(20, 3), (200, 100)])
+def test_leaks_that_many_documents_hold(spark, n, copies):
+    rng = random.Random(21)
+    text = lambda k: " ".join(f"w{rng.randrange(10**6)}" for _ in range(k))
+    common = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one".split()
+    items = [(1, text(40)), (2, " ".join(rng.sample(common, 20)))]
+    rows = [(k, f"{text(20)} {items[0][1]} {text(9)}" if k < copies else text(60), "s") for k in range(n)]
+    rows += [(1000 + k, " ".join(rng.choice(common + [f"x{j}" for j in range(150)]) for _ in range(90)), "s") for k in range(n)] + [(2000, f"{text(5)} {items[1][1]} {text(5)}", "s")]
+    got = decontamination.leaks(spark, docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(k, 1) for k in range(copies)} | {(2000, 2)} == plain_leaks([r[:2] for r in rows], items)
+    assert all(r["cosine"] > 0.3 for r in got)
+
+
 def test_leaks_of_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, "no id here at all"), (2, None)], "item_id long, text string")
     assert decontamination.leaks(spark, odd, bench).count() == 1
