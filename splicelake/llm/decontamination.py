@@ -27,7 +27,7 @@ from .scratch import Scratch
 from .textarray import ALNUM, LOWER, U, running, runs, slices, span_hash
 
 WINDOW, STRIDE = 64, 32
-SCALES = (64,)  # windows of documents: a passage is searched in the smallest that takes it
+SCALES = (8, 16, 32, 64)  # windows of documents: a passage is searched in the smallest that takes it
 DIMENSIONS = 1 << 15  # of the hashed TF-IDF space
 KNOWN_BITS = 1 << 22  # of the table that tells benchmark words from others
 RANK, EXTRA = 256, 16

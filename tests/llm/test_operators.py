@@ -277,6 +277,18 @@ def test_leaks_that_many_documents_hold(spark, n, copies):
     assert all(r["cosine"] > 0.3 for r in got)
 
 
+def test_leaks_of_short_items_in_long_texts(spark):
+    rng = np.random.default_rng(3)
+    words = zipf_words(rng)
+    sizes = (3, 5, 8, 12, 16, 24)
+    items = [(k, " ".join(words(sizes[k % 6]))) for k in range(60)]
+    rows = [(k, " ".join(words(100) + text.split() + words(100))) for k, text in items]
+    want = plain_leaks(rows, items)
+    assert {(k, k) for k in range(60)} <= want
+    got = decontamination.leaks(spark, docs(spark, [(i, t, "s") for i, t in rows]), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
 def test_leaks_of_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, "no id here at all"), (2, None)], "item_id long, text string")
     assert decontamination.leaks(spark, odd, bench).count() == 1
