@@ -27,8 +27,9 @@ SPREAD = 0.5  # least share of surroundings among those texts
 def _keys(line: Column) -> Column:
     """The leaves of a line, as hashes; empty for short lines."""
     masked = F.when(line.rlike(r"\d"), F.regexp_replace(line, r"\S*\d\S*", "<*>")).otherwise(line)
-    # a let-binding: the tokens, what stands between spaces, are computed once
-    return F.flatten(F.transform(F.array(F.split(F.trim(masked), " ")), _leaves))
+    # a let-binding: the tokens, what stands between white space, are computed once
+    tokens = F.filter(F.split(F.translate(masked, "\t\r\v\f", "    "), " "), lambda t: t != "")
+    return F.flatten(F.transform(F.array(tokens), _leaves))
 
 
 def _leaves(tokens: Column) -> Column:

@@ -157,6 +157,15 @@ def test_line_dedup(spark):
     assert all(got[30 + k]["text"] == copy for k in range(5))
 
 
+def test_line_dedup_whatever_the_white_space(spark):
+    rng = random.Random(31)
+    passage = prose(rng, 20)
+    forms = [passage, passage + "\r", passage.replace(" ", "\t"), "  " + passage.replace(" ", "  ", 3), passage + " \t"]
+    rows = [(k, f"{prose(rng, 12)}\n{line}\n{prose(rng, 9)}", "s") for k, line in enumerate(forms)]
+    got = linedup.line_dedup(spark, docs(spark, rows)).collect()
+    assert len(got) == 5 and all(r["n_dropped"] == 1 and len(r["text"].split("\n")) == 2 for r in got)
+
+
 def test_line_dedup_of_odd_rows(spark, odd):
     got = linedup.line_dedup(spark, odd).collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == sorted((i or 0, t or "") for i, t, _ in ODD)
