@@ -5,9 +5,9 @@ leading tokens, then a leaf. Tokens with a digit are variable fields (``<*>``).
 A leaf is a template: the line as a whole, or, for longer lines, the line with
 one half of what follows its leading tokens left open, so that lines which
 differ in one region share a template. A template that stands in several
-different texts, in different surroundings, is boilerplate: its lines go.
-Copies of a document don't make its lines boilerplate, as they bring the same
-surroundings along.
+texts that are different beside it is boilerplate: its lines go. What a text
+has beside it are its own lines, neither blank nor of a template that recurs. Copies of
+a document don't make its lines boilerplate, as they have few own lines or the same.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ LEAD = 3  # leading tokens on the path to a leaf
 SHORTEST = 5  # tokens of a line that is parsed at all
 OPEN_FROM = 12  # tokens from which half a line may be open
 TEXTS = 3  # different texts that a recurring template stands in
-SPREAD = 0.5  # least share of surroundings among those texts
+OWN = 1 / 9  # share of own lines above which texts can't be near copies (80 % of their union in common)
 
 
 def _keys(line: Column) -> Column:
@@ -50,25 +50,34 @@ def _leaves(tokens: Column) -> Column:
 
 
 def parsed(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, pos, around, key``: a row for each leaf of each line."""
+    """``doc_id, text_hash, pos, key``: a row for each leaf of each line."""
     lines = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
-    each = F.transform(
-        "lines",
-        lambda x, i: F.struct(i.alias("pos"), x.alias("line"), F.xxhash64(F.get("lines", i - 1), F.lit("|"), F.get("lines", i + 1)).alias("around")),
-    )
-    rows = lines.select("doc_id", "text_hash", F.explode(each).alias("x")).select("doc_id", "text_hash", "x.pos", "x.around", _keys(F.col("x.line")).alias("keys"))
-    return rows.select("doc_id", "text_hash", "pos", "around", F.explode("keys").alias("key"))
+    rows = lines.select("doc_id", "text_hash", F.posexplode("lines").alias("pos", "line")).select("doc_id", "text_hash", "pos", _keys(F.col("line")).alias("keys"))
+    return rows.select("doc_id", "text_hash", "pos", F.explode("keys").alias("key"))
+
+
+def often(rows: DataFrame, texts: int = TEXTS) -> DataFrame:
+    """``key`` of templates that stand in so many texts, copies or not."""
+    return rows.select("key", "text_hash").distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= texts).select("key")
+
+
+def sketches(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``text_hash, sketch`` of texts with enough own lines: the least hash of these. ``marks`` has the places of the others."""
+    lines = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
+    places = F.filter(F.transform("lines", lambda x, i: F.when(F.trim(F.translate(x, "\t\r\v\f", "    ")) != "", i)), lambda i: i.isNotNull())
+    all_ = lines.select("text_hash", "lines", places.alias("places")).join(marks.groupBy("text_hash").agg(F.collect_set("pos").alias("marked")).hint("merge"), "text_hash")
+    own = all_.select("text_hash", "lines", F.size("places").alias("n"), F.array_except("places", "marked").alias("own"))
+    hashes = F.transform("own", lambda i: F.xxhash64(F.get("lines", i)))
+    return own.where(F.size("own") > OWN * F.col("n")).select("text_hash", F.array_min(hashes).alias("sketch"))
 
 
-def recurring(rows: DataFrame, texts: int = TEXTS, spread: float = SPREAD) -> DataFrame:
-    """``key, texts`` of templates that recur across documents. Three small shuffles, each partly summed before."""
-    once = rows.groupBy("key", "text_hash").agg(F.min("around").alias("around"))
-    by_place = once.groupBy("key", "around").agg(F.count("*").alias("n"))
-    found = by_place.groupBy("key").agg(F.sum("n").alias("texts"), F.count("*").alias("places"))
-    return found.where((F.col("texts") >= texts) & (F.col("places") >= F.greatest(F.lit(float(texts)), F.col("texts") * spread))).select("key", "texts")
+def recurring(marks: DataFrame, sketch: DataFrame, texts: int = TEXTS) -> DataFrame:
+    """``key, texts`` of templates in so many texts that are different beside it."""
+    seen = marks.select("key", "text_hash").distinct().join(sketch.distinct().hint("merge"), "text_hash")
+    return seen.select("key", "sketch").distinct().groupBy("key").agg(F.count("*").alias("texts")).where(F.col("texts") >= texts)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, texts: int = TEXTS, spread: float = SPREAD) -> DataFrame:
+def line_dedup(spark: SparkSession, docs: DataFrame, texts: int = TEXTS) -> DataFrame:
     """All columns of ``docs``, ``text`` without boilerplate lines, and ``n_lines``, ``n_dropped`` (long).
 
     Needs ``doc_id`` and ``text``. Lines are what stands between ``\\n``; those kept
@@ -79,10 +88,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, texts: int = TEXTS, spread:
     """
     s = Scratch(spark, "linedup")
     rows = parsed(docs)
-    known = s.save(recurring(rows, texts, spread), "recurring")
+    known = s.save(often(rows, texts), "often")
+    # what recurs grows with the documents: merge joins at every size
+    marks = s.save(rows.join(known.hint("merge"), "key"), "marks")
+    found = s.save(recurring(marks, sketches(docs, marks), texts), "recurring")
     gone = (
-        rows.select("doc_id", "text_hash", "pos", "key")
-        .join(known.select("key"), "key")
+        marks.join(found.select("key"), "key")
         .groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
         .agg(F.collect_set("pos").alias("_gone"))
     )

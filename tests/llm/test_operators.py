@@ -166,6 +166,24 @@ def test_line_dedup_whatever_the_white_space(spark):
     assert len(got) == 5 and all(r["n_dropped"] == 1 and len(r["text"].split("\n")) == 2 for r in got)
 
 
+def test_line_dedup_of_blocks_blank_lines_and_copies(spark):
+    rng = random.Random(32)
+    block = [prose(rng, 15) for _ in range(3)]
+    rows = [(k, "\n\n".join([prose(rng, 12), *block, prose(rng, 9)]), "s") for k in range(6)]
+    rows += [(10 + k, "\n".join([prose(rng, 12), prose(rng, 9), *block]), "s") for k in range(4)]
+    base, line = [prose(rng, 14) for _ in range(30)], prose(rng, 22)
+    near = []
+    for k in range(40):  # near copies that hold a template and are edited each in another place
+        lines = base[:15] + [line] + base[15:]
+        lines[k % 15] = prose(rng, 14)
+        near.append((100 + k, "\n".join(lines), "s"))
+    rows += near + [(200 + k, f"{prose(rng, 12)}\n{line}\n{prose(rng, 9)}", "s") for k in range(5)]
+    got = {r["doc_id"]: r for r in linedup.line_dedup(spark, docs(spark, rows)).collect()}
+    assert all(got[i]["n_dropped"] == 3 and not any(b in got[i]["text"] for b in block) for i in [*range(6), *range(10, 14)])
+    assert all(got[i]["n_dropped"] == 1 for i in range(200, 205))
+    assert all(got[i]["text"] == "\n".join(x for x in t.split("\n") if x != line) for i, t, _ in near)
+
+
 def test_line_dedup_of_odd_rows(spark, odd):
     got = linedup.line_dedup(spark, odd).collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == sorted((i or 0, t or "") for i, t, _ in ODD)
