@@ -90,7 +90,7 @@ def _counts(batches):
             row, feature, _ = features(part.data, part.offsets)
             np.add.at(seen, (own[row], feature), 1)
             docs += np.bincount(own, minlength=2)
-    at = np.flatnonzero(seen[1])
+    at = np.flatnonzero(seen.any(axis=0))
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(([-1], at))), pa.array(np.concatenate((docs[:1], seen[0, at]))), pa.array(np.concatenate((docs[1:], seen[1, at])))], names=["feature", "n0", "n1"]
     )
@@ -98,7 +98,7 @@ def _counts(batches):
 
 def fit(rows: DataFrame, pairing: float = PAIRING) -> Model:
     """Fit on ``text, y``: a bounded table of labelled documents."""
-    # a task lists the features of its own toxic documents only; the absent side of others is summed below
+    # a task lists every feature of its documents, toxic or not: at most 2**BITS
     counted = rows.select("text", "y").coalesce(12).mapInArrow(_counts, "feature long, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counted = counted.where(f"feature < 0 or n1 >= {LEAST_DOCS}").toPandas()
     total = counted[counted.feature < 0][["n0", "n1"]].sum()

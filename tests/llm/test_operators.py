@@ -465,6 +465,23 @@ def test_toxicity(spark):
     assert kept == {i for i in got if not got[i]["predicted"]}
 
 
+def test_counts_of_features_in_tasks_without_toxic_documents():
+    def batch(texts, y):
+        return pa.RecordBatch.from_arrays([pa.array(texts), pa.array(y)], names=["text", "y"])
+
+    def summed(tasks):
+        out = {}
+        for task in tasks:
+            for got in toxicity._counts(iter(task)):
+                for f, a, b in zip(*(c.to_pylist() for c in got.columns), strict=True):
+                    n = out.setdefault(f, [0, 0])
+                    n[0], n[1] = n[0] + a, n[1] + b
+        return out
+
+    parts = [batch(["grumbat lies", "fine words"], [1, 0]), batch(["grumbat sleeps", "more words"], [0, 0])]
+    assert summed([[parts[0]], [parts[1]]]) == summed([parts])
+
+
 def test_identity_terms_are_swapped():
     assert toxicity.swapped("nothing here") == []
     other, neutral = toxicity.swapped("The gay man and Women")
