@@ -18,26 +18,43 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 LEAD = 3  # leading tokens on the path to a leaf
-SHORTEST = 5  # tokens of a line that is parsed at all
+SHORTEST, SHORT_TEXTS = 5, 10  # a line of fewer tokens is a template as it is, and must stand in more texts
+UNSPACED = 50  # characters from which a line of few tokens isn't short (scripts without spaces)
+LONGEST, LONG_TEXTS = 50, 2  # a line of so many tokens recurs from two texts on
 OPEN_FROM = 12  # tokens from which half a line may be open
 TEXTS = 3  # different texts that a recurring template stands in
 OWN = 1 / 9  # share of own lines above which texts can't be near copies (80 % of their union in common)
 
 
 def _keys(line: Column) -> Column:
-    """The leaves of a line, as hashes; empty for short lines."""
+    """The leaves of a line, as hashes whose last two bits tell ordinary (0), short (1) and long lines (2)."""
     masked = F.when(line.rlike(r"\d"), F.regexp_replace(line, r"\S*\d\S*", "<*>")).otherwise(line)
     # a let-binding: the tokens, what stands between white space, are computed once
     tokens = F.filter(F.split(F.translate(masked, "\t\r\v\f", "    "), " "), lambda t: t != "")
-    return F.flatten(F.transform(F.array(tokens), _leaves))
+    leaves = F.flatten(F.transform(F.array(tokens), lambda t: F.transform(_leaves(t, line), lambda k: k.bitwiseAND(F.lit(-4)).bitwiseOR(_kind(t)))))
+    return leaves
 
 
-def _leaves(tokens: Column) -> Column:
+def _kind(tokens: Column) -> Column:
+    n = F.size(tokens)
+    short = (n < SHORTEST) & (F.length(F.array_join(tokens, "")) < UNSPACED)
+    return F.when(short, 1).when(n >= LONGEST, 2).otherwise(0).cast("bigint")
+
+
+def _enough(n: Column, texts: int) -> Column:
+    """Whether a template, by the kind in its ``key``, stands in enough texts."""
+    kind = F.col("key").bitwiseAND(F.lit(3))
+    return n >= F.when(kind == 1, max(texts, SHORT_TEXTS)).when(kind == 2, min(texts, LONG_TEXTS)).otherwise(texts)
+
+
+def _leaves(tokens: Column, line: Column) -> Column:
     n = F.size(tokens)
     lead = F.slice(tokens, 1, LEAD)
     half = ((n - LEAD) / 2).cast("int")
     return (
-        F.when(n < SHORTEST, F.array().cast("array<bigint>"))
+        F.when(n == 0, F.array().cast("array<bigint>"))
+        # digits of a short line are masked where anything else is left
+        .when((n < SHORTEST) & ~F.exists(tokens, lambda t: t != "<*>"), F.array(F.xxhash64(F.trim(line))))
         .when(n < OPEN_FROM, F.array(F.xxhash64(n, tokens)))
         .otherwise(
             F.array(
@@ -58,7 +75,7 @@ def parsed(docs: DataFrame) -> DataFrame:
 
 def often(rows: DataFrame, texts: int = TEXTS) -> DataFrame:
     """``key`` of templates that stand in so many texts, copies or not."""
-    return rows.select("key", "text_hash").distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= texts).select("key")
+    return rows.select("key", "text_hash").distinct().groupBy("key").agg(F.count("*").alias("n")).where(_enough(F.col("n"), texts)).select("key")
 
 
 def sketches(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -74,7 +91,7 @@ def sketches(docs: DataFrame, marks: DataFrame) -> DataFrame:
 def recurring(marks: DataFrame, sketch: DataFrame, texts: int = TEXTS) -> DataFrame:
     """``key, texts`` of templates in so many texts that are different beside it."""
     seen = marks.select("key", "text_hash").distinct().join(sketch.distinct().hint("merge"), "text_hash")
-    return seen.select("key", "sketch").distinct().groupBy("key").agg(F.count("*").alias("texts")).where(F.col("texts") >= texts)
+    return seen.select("key", "sketch").distinct().groupBy("key").agg(F.count("*").alias("texts")).where(_enough(F.col("texts"), texts))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, texts: int = TEXTS) -> DataFrame:

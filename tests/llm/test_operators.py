@@ -184,6 +184,17 @@ def test_line_dedup_of_blocks_blank_lines_and_copies(spark):
     assert all(got[i]["text"] == "\n".join(x for x in t.split("\n") if x != line) for i, t, _ in near)
 
 
+def test_line_dedup_of_short_unspaced_and_long_lines(spark):
+    rng = random.Random(33)
+    long, unspaced = prose(rng, 60), "條款" * 30
+    rows = [(k, f"{prose(rng, 12)}\nAll rights reserved.\n{prose(rng, 9)}\n{k % 9}", "s") for k in range(12)]
+    rows += [(20 + k, f"{prose(rng, 12)}\n{long}\n{prose(rng, 9)}", "s") for k in range(2)]
+    rows += [(30 + k, f"{prose(rng, 12)}\n{unspaced}\n{prose(rng, 9)}\nread on", "s") for k in range(3)]
+    got = linedup.line_dedup(spark, docs(spark, rows)).collect()
+    assert len(got) == 17 and all(r["n_dropped"] == 1 for r in got)
+    assert not any(x in r["text"] for r in got for x in ("reserved", long, unspaced))
+
+
 def test_line_dedup_of_odd_rows(spark, odd):
     got = linedup.line_dedup(spark, odd).collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == sorted((i or 0, t or "") for i, t, _ in ODD)
