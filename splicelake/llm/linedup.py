@@ -53,8 +53,8 @@ def _leaves(tokens: Column, line: Column) -> Column:
     half = ((n - LEAD) / 2).cast("int")
     return (
         F.when(n == 0, F.array().cast("array<bigint>"))
-        # digits of a short line are masked where anything else is left
-        .when((n < SHORTEST) & ~F.exists(tokens, lambda t: t != "<*>"), F.array(F.xxhash64(F.trim(line))))
+        # digits are masked where any other token is left: lines of fields only have nothing else to tell them apart
+        .when(~F.exists(tokens, lambda t: t != "<*>"), F.array(F.xxhash64(F.trim(line))))
         .when(n < OPEN_FROM, F.array(F.xxhash64(n, tokens)))
         .otherwise(
             F.array(
