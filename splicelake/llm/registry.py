@@ -64,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE_SQL, "op4_html": htmltext.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL}
+    return {"op2_warc": warc.ORACLE_SQL, "op4_html": htmltext.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL, "op10_linededup": linedup.ORACLE_SQL}
