@@ -103,6 +103,16 @@ def _payload(value: Column, head_bytes: Column, block_bytes: Column) -> Column:
     return F.substring(block, http + 1, F.octet_length(block))
 
 
+def _placed(pieces: DataFrame) -> DataFrame:
+    """Pieces of one saved scan (``file, block, at, size``) with ``start``: where in the file the magic line before each begins."""
+    step = len(MAGIC)
+    before = F.sum(F.col("size") + step).over(Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = pieces.groupBy("file", "block").agg(F.sum(F.col("size") + step).alias("span"))
+    base = F.coalesce(F.sum("span").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = pieces.withColumn("before", F.coalesce(before, F.lit(0))).join(blocks.withColumn("base", base).drop("span"), ["file", "block"])
+    return placed.withColumn("start", F.col("base") + F.col("before") - step).drop("base", "before")
+
+
 def read(spark: SparkSession, path: str, s: Scratch) -> DataFrame:
     """The records of archives: ``file, start, type, record_id, refers_to, url, digest, payload_bytes, sha`` (hexadecimal, of the bytes read)."""
     raw = (
@@ -130,15 +140,9 @@ def read(spark: SparkSession, path: str, s: Scratch) -> DataFrame:
         F.sha1(payload).alias("sha"),
     )
     pieces = s.save(pieces, "pieces")
-    step = len(MAGIC)
-    before = F.sum(F.col("size") + step).over(Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = pieces.groupBy("file", "block").agg(F.sum(F.col("size") + step).alias("span"))
-    base = F.coalesce(F.sum("span").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = pieces.withColumn("before", F.coalesce(before, F.lit(0))).join(blocks.withColumn("base", base).drop("span"), ["file", "block"])
-    start = F.col("base") + F.col("before") - step
     by_file = Window.partitionBy("file").orderBy("start")
-    candidates = placed.withColumn("start", start).where("start >= 0 and headed and block_bytes is not null")
-    candidates = candidates.withColumn("next", F.col("start") + step + F.col("head_bytes") + F.col("block_bytes") + len(END)).drop("base", "before", "headed", "block")
+    candidates = _placed(pieces).where("start >= 0 and headed and block_bytes is not null")
+    candidates = candidates.withColumn("next", F.col("start") + len(MAGIC) + F.col("head_bytes") + F.col("block_bytes") + len(END)).drop("headed", "block", "at")
     candidates = s.save(candidates, "candidates")
     # runs: what follows its predecessor and isn't the goal of a jump from elsewhere
     slim = candidates.select("file", "start", "next").withColumns({"came": F.lag("next").over(by_file), "after": F.lead("start").over(by_file)})
@@ -167,10 +171,15 @@ def read(spark: SparkSession, path: str, s: Scratch) -> DataFrame:
     broken = records.where(~whole)
     if broken.isEmpty():
         return out
-    # a payload with magic lines in it: its pieces are put together again
+    # a payload with magic lines in it: its pieces are put together again. They come from one more
+    # scan, of the files that have such payloads, which is saved with its own offsets: how files are
+    # split may have changed since, so nothing of the first scan but offsets in the file is used
+    files = broken.select("file").distinct()
+    again = s.save(raw.join(files, "file", "left_semi"), "again")
     spans = broken.select("file", F.col("start").alias("own"), "next")
-    inside = placed.select("file", "at", start.alias("piece")).join(spans, "file").where("piece >= own and piece < next").select("at", "own", "piece")
-    text = raw.join(s.save(inside, "inside"), "at").groupBy("file", "own").agg(F.sort_array(F.collect_list(F.struct("piece", "value"))).alias("p"))
+    inside = _placed(again.select("file", "block", "at", F.octet_length("value").cast("long").alias("size")))
+    inside = inside.withColumnRenamed("start", "piece").join(spans, "file").where("piece >= own and piece < next").select("file", "at", "own", "piece")
+    text = again.select("file", "at", "value").join(inside, ["file", "at"]).groupBy("file", "own").agg(F.sort_array(F.collect_list(F.struct("piece", "value"))).alias("p"))
     text = text.select("file", F.col("own").alias("start"), F.array_join(F.transform("p", lambda x: x["value"]), MAGIC).alias("value"))
     mended = _payload(F.col("value"), F.col("head_bytes"), F.col("block_bytes"))
     fixed = broken.join(text, ["file", "start"]).withColumns({"payload_bytes": F.octet_length(mended).cast("long"), "sha": F.sha1(mended)})
@@ -183,7 +192,9 @@ def round_trip(spark: SparkSession, pages: DataFrame, least: int = 0) -> DataFra
     Null html is an empty payload. Of equal payloads of at least ``least`` bytes that with
     the smallest page_id is the response (each of its rows, if rows repeat); pages without
     page_id are responses. ``intact`` says that the bytes read have the digest that the
-    header names. An empty table gives no rows; other columns don't matter.
+    header names. Empty texts are payloads like any other, pages of any length are written and
+    read whole (a record must fit in a row). An empty table gives no rows; other columns don't
+    matter, whatever their names.
     """
     s = Scratch(spark, "warc")
     write(spark, pages, s.path("archive"), s, least)
