@@ -1,19 +1,24 @@
 """Main text of web pages by two passes of block rules.
 
-The first pass cuts a page into blocks and decides those it can: by the element
-they stand in, by link density, length and the density of stop words. The second
-gives ambiguous short blocks the label of their nearest decided neighbours.
+Elements that never hold the article (menus, footers, forms, comments and the like)
+are set aside. Of all other blocks the first pass decides those it can: much link
+text is boilerplate, enough stop words for its length is text. The second gives the
+ambiguous ones, short or without stop words, the label of their nearest decided
+neighbours; being ambiguous alone never drops a block.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .textarray import slices
+
 # Frequent function words of the languages at hand.
 STOP_WORDS = frozenset(
     (
@@ -55,7 +60,7 @@ class Block:
     def __init__(self, place: str, heading: bool):
         self.parts: list[str] = []
         self.linked = 0
-        self.place = place  # "aside", "main" or ""
+        self.place = place  # "aside" if it is never text, "main" in an article, else ""
         self.heading = heading
 
 
@@ -78,6 +83,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, str]] = []  # open elements and what their text is
     current: Block | None = None
+    solid: list[int] = []  # places of block elements in the stack
     names: Counter[str] = Counter()  # of the stack
     marks: Counter[str] = Counter()
     at, breaks = 0, 0
@@ -87,6 +93,8 @@ def blocks(page: str) -> list[Block]:
             names[name] -= 1
             marks[mark] -= 1
         del stack[k:]
+        while solid and solid[-1] >= k:
+            solid.pop()
 
     def add(text: str) -> None:
         nonlocal current
@@ -135,58 +143,65 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in BLOCK and stack:
             # an open paragraph ends where a block begins, and what is inline in it too
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK), -1)
+            k = solid[-1] if solid else -1
             if k >= 0 and stack[k][0] == "p" or k >= 0 and name == stack[k][0] and name in ("li", "dd", "dt", "td", "th", "tr", "option"):
                 close(k)
         if m[3].endswith("/") and name not in BLOCK:
             continue
+        if name in BLOCK:
+            solid.append(len(stack))
         stack.append((name, _mark(name, m[3], marks["main"] > 0)))
         names[name] += 1
         marks[stack[-1][1]] += 1
     return out
 
 
-def classify(found: list[Block]) -> list[bool]:
-    """Which blocks are article text."""
-    labels: list[bool | None] = []
-    for b in found:
-        text = "".join(b.parts)
-        size = len(text.strip())
-        if b.place == "aside":
-            labels.append(False)
-        elif b.place == "main":
-            labels.append(True)
-        elif b.linked > LINKS * max(1, len(text)):
-            labels.append(False)
-        elif b.heading or size < SHORT:
-            labels.append(None)
-        else:
-            words = _WORD.findall(text.lower())
-            stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            labels.append(True if stops >= STOPS_HIGH or stops >= STOPS_LOW and size >= LONG else False if stops < STOPS_LOW and size >= LONG else None)
-    decided = [i for i, x in enumerate(labels) if x is not None and found[i].place != "aside"]
+def first_pass(b: Block) -> bool | None:
+    """Whether a block that isn't set aside is text, by its links, length and stop words; None where these don't tell."""
+    text = "".join(b.parts)
+    size = len(text.strip())
+    if b.heading:
+        return None
+    if b.linked > LINKS * max(1, len(text)):
+        return False
+    if size < SHORT:
+        return None
+    words = _WORD.findall(text.lower())
+    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    return True if stops >= STOPS_HIGH or stops >= STOPS_LOW and size >= LONG else None
+
+
+def second_pass(labels: list[bool | None], heading: list[bool]) -> list[bool]:
+    """Labels of a run of blocks, the undecided ones from their nearest decided neighbours; text where there are none."""
+    decided = [i for i, x in enumerate(labels) if x is not None]
     out = []
     for i, x in enumerate(labels):
         if x is None:
-            before = max((d for d in decided if d < i), default=None) if len(decided) < 64 else _near(decided, i, -1)
-            after = min((d for d in decided if d > i), default=None) if len(decided) < 64 else _near(decided, i, 1)
+            k = bisect_left(decided, i)
+            before, after = decided[k - 1] if k else None, decided[k] if k < len(decided) else None
             if before is None and after is None:
                 x = True
             elif before is None or after is None:
                 x = labels[after if before is None else before]
-            elif found[i].heading:
+            elif heading[i]:
                 x = labels[after]  # a heading belongs to what follows
             else:
-                x = labels[before] if labels[before] == labels[after] or i - before <= after - i else labels[after]
+                x = labels[before] if i - before <= after - i else labels[after]
         out.append(bool(x))
     return out
 
 
-def _near(decided: list[int], i: int, side: int) -> int | None:
-    from bisect import bisect_left
-
-    k = bisect_left(decided, i)
-    return (decided[k - 1] if k else None) if side < 0 else (decided[k] if k < len(decided) else None)
+def classify(found: list[Block]) -> list[bool]:
+    """Which blocks are article text. Blocks in and outside of an ``article`` are no neighbours; without one all are."""
+    out = [False] * len(found)
+    for place in ("main", ""):
+        at = [i for i, b in enumerate(found) if b.place == place]
+        labels = [first_pass(found[i]) for i in at]
+        if not place and True not in labels and any(b.place == "main" for b in found):
+            continue  # what little stands beside an article isn't text unless some of it reads like text
+        for i, x in zip(at, second_pass(labels, [found[i].heading for i in at]), strict=True):
+            out[i] = x
+    return out
 
 
 def main_text(page: str) -> str:
@@ -199,19 +214,24 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page, from one scan.
 
     Null and empty html give an empty text and 0; so does a page of nothing but
-    menus and the like. Rows may repeat; other columns don't matter.
+    menus and the like, or an empty table no rows. A page of any length is read whole, in time
+    in proportion to it however deep or broken its elements are, and holds a task's memory
+    for its own length only. Ids may be null, tie or repeat: a row in, a row out. Other
+    columns don't matter, whatever their names.
     """
 
     def scan(batches):
         for batch in batches:
-            texts = [main_text(x.as_py() or "") for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+            for part in slices(batch.column(2)):
+                texts = [main_text(part.data[a:b].tobytes().decode()) for a, b in zip(part.offsets[:-1], part.offsets[1:], strict=True)]
+                first = [c.slice(part.first, len(texts)) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays([*first, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     source = pages.select("page_id", "url", "html")
     return source.mapInArrow(scan, f"page_id {source.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
 
 
-#: The same for pages whose article is one ``article`` element of headings and paragraphs, as all of ``pages`` are.
+#: What the rules come to on pages whose article is one ``article`` element of headings and paragraphs without links, as all of ``pages`` are.
 ORACLE_SQL = r"""
 with a as (
   select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') as body from pages),
