@@ -7,34 +7,47 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import share
 from .textarray import slices
 
-#: Bounds of the learned sample: documents of a language, characters of each, bytes of the dictionary.
-DOCS, CHARS, DICT_BYTES = 300, 3000, 1 << 17
+#: Bounds of what is learned: languages, the commonest first, and bytes of plain text of each. Whole texts
+#: are drawn until a dictionary has them, those that are longer than a dictionary only where others don't fill it.
+LANGUAGES, DICT_BYTES = 128, 1 << 17
 PIECE = 2048
 #: Matches of four bytes count, which words of a few syllables need; windows hold dictionary and piece.
-CODER = dict(write_content_size=0, write_checksum=0, write_dict_id=0, window_log=18, hash_log=17, chain_log=17, strategy=zstandard.STRATEGY_GREEDY, min_match=4, search_log=3, target_length=8)
+CODER = dict(write_content_size=0, write_checksum=0, write_dict_id=0, hash_log=17, chain_log=17, strategy=zstandard.STRATEGY_GREEDY, min_match=4, search_log=3, target_length=8)
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Relative difference of the two smallest sizes below which the choice is rejected.
 MARGIN = 0.005
 
 
 def learn(docs: DataFrame, allowed: Column) -> dict[str, bytes]:
-    """Raw-content dictionaries of each language, from a bounded sample of documents with a ``lang``.
+    """Raw-content dictionaries of each language, from a bounded sample of whole documents with a ``lang``.
 
-    The share of documents taken of a language follows from its count, so the driver gets about
-    ``DOCS`` of each; languages number a few hundred at most.
+    The share of rows drawn of a language follows from how many bytes all of it has, so the
+    driver gets a few times ``DICT_BYTES`` of each.
     """
     own = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(allowed)
-    counts = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    own = own.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"), F.octet_length("text").alias("bytes")).where("bytes > 0")
+    fits = F.col("bytes") <= DICT_BYTES
+    counts = own.groupBy("lang").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.when(fits, F.col("bytes"))), F.lit(0)).alias("fitting"))
+    found = counts.orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()
+    if not found:
         return {}
-    rate = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, DOCS / n)]), F.col("lang")), F.lit(0.0))
-    rows = own.where(share(F.col("doc_id"), 41) < rate).select("lang", F.substring("text", 1, CHARS).alias("text"), F.xxhash64("doc_id").alias("h")).toPandas()
+    rate = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], 4.0 * DICT_BYTES / max(r["fitting"], 1))])
+    drawn = own.where(fits & (F.pmod("h", F.lit(1 << 30)) / float(1 << 30) < F.element_at(rate, F.col("lang")))).select("lang", "h", "text")
+    long = [r["lang"] for r in found if r["fitting"] < DICT_BYTES]
+    if long:
+        drawn = drawn.union(own.where(~fits & F.col("lang").isin(long)).groupBy("lang").agg(F.min_by(F.struct(F.lit(1 << 62).alias("h"), "text"), "h").alias("x")).select("lang", "x.*"))
+    rows = drawn.dropDuplicates(["lang", "h"]).toPandas()
     out = {}
     for lang, part in rows.sort_values(["h", "text"]).groupby("lang"):
-        out[lang] = b"".join(plain(t.encode()) for t in part.text)[:DICT_BYTES].ljust(64)
+        texts, size = [], 0
+        for t in part.text:
+            if size >= DICT_BYTES:
+                break
+            texts.append(plain(t.encode()))
+            size += len(texts[-1])
+        out[lang] = b"".join(texts).ljust(64)
     return out
 
 
@@ -44,35 +57,29 @@ def plain(text: bytes) -> bytes:
 
 
 class Sizer:
-    """Compressed sizes of a text under each language's dictionary."""
+    """Code lengths of a text under each language's dictionary: its compressed size, and a byte for each word that the dictionary lacks."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
         self.langs = sorted(dictionaries)
         self.tools = []
-        how = zstandard.ZstdCompressionParameters(**CODER)
+        room = max((len(d) for d in dictionaries.values()), default=0) + PIECE
+        how = zstandard.ZstdCompressionParameters(**CODER, window_log=min(27, max(18, room.bit_length())))
         for lang in self.langs:
             d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(compression_params=how)
-            self.tools.append((zstandard.ZstdCompressor(dict_data=d, compression_params=how).compress, dictionaries[lang]))
+            self.tools.append((zstandard.ZstdCompressor(dict_data=d, compression_params=how).compress, frozenset(dictionaries[lang].split())))
 
-    def sizes(self, text: bytes) -> list[float]:
+    def sizes(self, text: bytes) -> list[int]:
         """Bytes for each language; long texts go piece by piece, all of them."""
-        pieces = [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
-        return [float(sum(len(compress(p)) for p in pieces)) for compress, _ in self.tools]
-
-    def unseen(self, text: bytes) -> list[float]:
-        """For texts too short for the coder: the share of their words that a dictionary doesn't have."""
-        found = text.split() or [text]
-        return [sum(b" " + w + b" " not in content for w in found) / len(found) for _, content in self.tools]
+        pieces, found = [text[at : at + PIECE] for at in range(0, len(text), PIECE)], text.split()
+        return [sum(len(compress(p)) for p in pieces) + len(found) - sum(map(known.__contains__, found)) for compress, known in self.tools]
 
     def choose(self, text: bytes) -> tuple[str, float, float]:
         """Language, score from 0 to 1, and relative margin."""
         sizes = self.sizes(text)
-        if len(text) < 128:
-            sizes = [s + 4 * u for s, u in zip(sizes, self.unseen(text), strict=True)]
         order = sorted(range(len(sizes)), key=sizes.__getitem__)
         best = sizes[order[0]]
-        score = 1 / sum(2.0 ** -min(60.0, s - best) for s in sizes)
+        score = 1 / sum(2.0 ** -min(60, s - best) for s in sizes)
         margin = (sizes[order[1]] - best) / sizes[order[1]] if len(order) > 1 else 1.0
         return self.langs[order[0]], score, margin
 
@@ -114,6 +121,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def languages(docs: DataFrame) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, rejected``: learned from documents that aren't held out, for all of them."""
+    """``doc_id, held_out, lang_pred, score, rejected``: learned from documents that aren't held out, for all of them.
+
+    Learned from ``lang`` and ``text`` of ``LANGUAGES`` languages and ``DICT_BYTES`` of each at most;
+    rows without a lang, text or doc_id teach nothing. Null texts and those without a letter are
+    ``und``, as is every text if nothing is learned. Texts of one word and of any length are sized
+    whole by one rule; ties go to the first language by name. A row in, a row out: ids may
+    repeat or be null (``held_out`` is null then). An empty table gives no rows; other columns
+    don't matter, whatever their names.
+    """
     found = identify(docs, learn(docs, ~held_out(F.col("doc_id"))))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
