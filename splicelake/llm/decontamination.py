@@ -212,9 +212,10 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFra
     """``doc_id, item_id, cosine, lcs, answer`` of every document and benchmark item that it contains, also reworded.
 
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``;
-    other columns don't matter. Null and empty texts match nothing, repeated rows
-    give one row, empty tables none. Items of fewer than 8 words must be contained
-    word by word. An item's words are looked for in a window (of ``SCALES``) and as many
+    other columns don't matter, whatever their names. Null and empty texts match nothing, repeated rows
+    give one row, rows with one doc_id are one document, a null doc_id is a value like any other, an item
+    without an id is left out, empty tables give no rows. Texts of any length are searched whole, window by
+    window; each must fit in a row. Items of fewer than 8 words must be contained word by word. An item's words are looked for in a window (of ``SCALES``) and as many
     words as the item has on either side. ``lcs`` is the share of the passage's words that stand in the document
     in order, ``answer`` whether the words after "answer:", else the last eight, do.
     """
@@ -417,6 +418,9 @@ def _confirmed(b: Block, window, q, ids, row_of_slice, own, begin, end, first, h
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item was found, with all their columns; those without doc_id stay."""
+    """The documents in which no benchmark item was found, with all their columns; those without doc_id stay.
+
+    Null and empty texts stay, repeated rows stay or go together; tables are as in ``leaks``.
+    """
     found = leaks(spark, docs, benchmark).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import Scratch
+from .scratch import Scratch, fresh
 from .textarray import Bloom, U, bloom_of, mix64, shingles, slices, words
 
 SLOTS = 128
@@ -174,7 +174,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, similarity
     its id the smallest doc_id. Texts that are null or without words have an empty
     set and are linked with nothing. Repeated rows give repeated equal rows; rows
     with one doc_id and different texts are one document, for which either text may stand when links are looked for.
-    A row without a doc_id is its own component, null. An empty table gives no rows.
+    A row without a doc_id is its own component, null. An empty table gives no rows. The set of a
+    text of any length is whole; it must fit in a row.
 
     Equal sets become one class before anything is paired. The classes of a bucket
     are compared around its most widely shared member; what that leaves in more
@@ -209,10 +210,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, similarity
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, k: int = 5) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, and one of repeated rows; rows without a doc_id stay."""
+    """``docs`` with one document of each near-duplicate group, and one of repeated rows; rows without a doc_id stay.
+
+    Null and empty texts are copies of nothing and stay. Very long texts, ties and empty tables are
+    as in ``near_duplicates``. All columns stay as they are, whatever their names.
+    """
     kept = near_duplicates(spark, docs, k).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("_hash", F.xxhash64("text"))
-    return known.dropDuplicates(["doc_id", "_hash"]).drop("_hash").union(docs.where("doc_id is null"))
+    (same,) = fresh(docs, "text_hash")
+    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn(same, F.xxhash64("text"))
+    return known.dropDuplicates(["doc_id", same]).drop(same).union(docs.where("doc_id is null"))
 
 
 def pair_links(spark: SparkSession, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int, s: Scratch) -> DataFrame:
@@ -256,22 +262,26 @@ BLOCK = 128
 def blockwise(s: Scratch, docs: DataFrame, cast: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Links between the components of each scope, from comparing blocks of its members in full.
 
-    Members outside the main component meet all others of the scope. A block pair gives one
-    link at most for each outsider and component: more can't change what is connected.
+    Members outside the main component meet all others of the scope that are near them in size:
+    blocks hold sets of one class of sizes, classes grow by ``den / num``, and sets of classes that
+    aren't neighbours can't be similar enough. A block pair gives one link at most for each
+    outsider and component: more can't change what is connected.
     """
     ends = s.save(cast.select(F.col("rep").alias("doc_id")).distinct(), "cast-ids")
     sets = shingle_sets(docs, k, bloom_of(ends, "doc_id")).join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    level = F.floor(F.log(F.size("shingles").cast("double")) / float(np.log(den / num) if num < den else 1.0)).cast("int")
     full = s.save(
-        cast.join(reps.select("rep", "sig"), "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep").dropDuplicates(["scope", "rep"]), "cast-sets"
+        cast.join(reps.select("rep", "sig"), "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep").where("size(shingles) > 0").withColumn("level", level).dropDuplicates(["scope", "rep"]), "cast-sets"
     )
-    many = s.save(full.groupBy("scope", "main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "many")
-    placed = full.join(many, ["scope", "main"]).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int"))
+    part = ["scope", "main", "level"]
+    many = s.save(full.groupBy(*part).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "many")
+    placed = full.join(many, part).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int"))
     # dealt by block: a partitioning by scope alone would put a large scope into one task
-    placed = placed.repartition("scope", "main", "block")
-    blocks = s.save(placed.groupBy("scope", "main", "block").agg(F.collect_list(F.struct("rep", "root", "sig", "shingles")).alias("members")), "blocks")
-    left = blocks.where("not main").select("scope", F.col("block").alias("i"), F.col("members").alias("x"))
-    right = blocks.select("scope", "main", F.col("block").alias("j"), F.col("members").alias("y"))
-    pairs = left.join(right, "scope").where("main or i <= j").select("x", "y")
+    placed = placed.repartition(*part, "block")
+    blocks = s.save(placed.groupBy(*part, "block").agg(F.collect_list(F.struct("rep", "root", "sig", "shingles")).alias("members")), "blocks")
+    left = blocks.where("not main").select("scope", F.struct("level", "block").alias("i"), F.col("members").alias("x"), F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level"))
+    right = blocks.select("scope", "main", "level", F.struct("level", "block").alias("j"), F.col("members").alias("y"))
+    pairs = left.join(right, ["scope", "level"]).where("main or i <= j").select("x", "y")
 
     def compare(batches):
         for batch in batches:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, fresh
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -83,24 +83,24 @@ def thresholds(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] =
 def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """All columns of ``docs`` and ``size, source_size, target, taken, copies`` (what the mix takes of a document: words, and how often).
 
-    Needs ``doc_id, text, source``. A null text has size 0, a null source is a source
-    of its own, last in order. Documents with equal doc_id share a hash and are taken
-    together; null ids likewise. The taken words of a source miss its target by half
-    the words of one hash value at most. An empty table gives no rows. Columns named
-    like the added ones are replaced. The table of sources is joined as Spark sees
-    fit: its measured size decides on a broadcast.
+    Needs ``doc_id, text, source``. A null text has size 0 as an empty one has, a text of any
+    length is counted whole; a null source is a source of its own, last in order. Documents with
+    equal doc_id share a hash and are taken together; null ids likewise. The taken words of a
+    source miss its target by half the words of one hash value at most. Repeated rows count each.
+    An empty table gives no rows. Columns named like the added ones are replaced, all others stay,
+    whatever their names. The table of sources is joined as Spark sees fit: its measured size
+    decides on a broadcast.
     """
-    limit = thresholds(spark, docs, weights, cap).select(*[F.col(c).alias(f"_{c}") for c in ("source", "source_size", "target", "rounds", "below", "at")])
-    own = docs.withColumns({"size": size_of(F.col("text")), "_u": hash_of(F.col("doc_id"))})
-    once = (F.col("_u") < F.col("_below")) | (F.col("_at") & (F.col("_u") == F.col("_below")))
-    return own.join(limit, F.expr("source <=> _source")).withColumns(
-        {
-            "source_size": F.col("_source_size"),
-            "target": F.col("_target"),
-            "copies": F.col("_rounds") + once.cast("long"),
-            "taken": F.col("size") * (F.col("_rounds") + once.cast("long")),
-        }
-    ).drop("_u", "_source", "_source_size", "_target", "_rounds", "_below", "_at")
+    added = ("size", "source_size", "target", "taken", "copies")
+    docs = docs.drop(*added)
+    u, *names = fresh(docs, *added, "hash", "of_source", "rounds", "below", "at")[len(added) :]
+    of, rounds, below, at = map(F.col, names)
+    limit = thresholds(spark, docs, weights, cap)
+    limit = limit.select(limit.source.alias(names[0]), "source_size", "target", *[limit[c].alias(n) for c, n in zip(("rounds", "below", "at"), names[1:], strict=True)])
+    own = docs.withColumns({"size": size_of(F.col("text")), u: hash_of(F.col("doc_id"))})
+    once = (F.col(u) < below) | (at & (F.col(u) == below))
+    joined = own.join(limit, F.col("source").eqNullSafe(of)).withColumn("copies", rounds + once.cast("long"))
+    return joined.withColumn("taken", F.col("size") * F.col("copies")).select(*[F.col(f"`{c}`") for c in docs.columns], *added)
 
 
 #: The same mix by sorting: targets from the order in which sources fill up, thresholds from running sums over all hashes.
