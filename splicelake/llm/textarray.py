@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 U = np.uint64
 SLICE_BYTES = 1 << 19
@@ -200,17 +201,29 @@ class Bloom:
         return out
 
 
-def bloom_of(df, column: str, bits: int = 1 << 23) -> Bloom:
-    """The filter of a long column, built in the tasks: the driver gets ``bits`` bits of each of at most 8 parts."""
+#: Bits of a filter for each of its keys, and the most bits of one (16 megabytes); beyond, more keys are taken wrongly for members.
+BITS_A_KEY, LEAST_BITS, MOST_BITS = 12, 1 << 16, 1 << 27
+
+
+def bloom_of(df, column: str) -> Bloom:
+    """The filter of a long column of a saved table, sized by its rows.
+
+    Every task fills a filter and sends the words of it that aren't 0; they are joined by bit before they reach the driver.
+    """
+    keys = df.select(column).where(f"{column} is not null")
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(BITS_A_KEY * keys.count()).bit_length()))
 
     def fill(batches):
         b = Bloom(bits)
         for batch in batches:
             b.add(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U))
-        yield pa.RecordBatch.from_arrays([pa.array([b.field.tobytes()])], names=["field"])
+        found = b.field.view(np.int64)
+        at = np.flatnonzero(found)
+        for part in range(0, len(at), 1 << 16):
+            some = at[part : part + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["at", "bits"])
 
+    got = keys.mapInArrow(fill, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = Bloom(bits)
-    parts = df.select(column).where(f"{column} is not null").coalesce(8).mapInArrow(fill, "field binary")
-    for (field,) in parts.collect():
-        out.field |= np.frombuffer(field, np.uint8)
+    out.field.view(np.int64)[got.column("at").to_numpy()] = got.column("bits").to_numpy()
     return out
