@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
+
 #: Labelled rows that a classifier is fitted on; more are thinned by a hash of doc_id.
 FIT_ROWS = 12_000
 
@@ -14,13 +16,14 @@ def share(doc_id: Column, salt: int) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int = FIT_ROWS) -> DataFrame:
+def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, s: Scratch, rows: int = FIT_ROWS) -> DataFrame:
     """``doc_id, text, y`` of about ``rows`` labelled documents at most, those that ``learn`` (of doc_id) allows.
 
     The thinned labels are at most a few times ``rows`` short rows, so they are
-    broadcast, and the documents are read in one scan without a shuffle.
+    broadcast, and the documents are read in one scan of its full width, without a
+    shuffle. The sample is saved: what is fitted on it never scans the documents again.
     """
     own = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y")).where(learn)
     n = own.count()
-    thin = own.where(share(F.col("doc_id"), 17) < rows / max(n, 1)).dropDuplicates(["doc_id"])
-    return docs.select("doc_id", "text").join(F.broadcast(thin), "doc_id")
+    thin = own.where(share(F.col("doc_id"), 17) < rows / max(n, 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
+    return s.save(docs.select("doc_id", "text").join(F.broadcast(thin), "doc_id"), f"sample-{label}")

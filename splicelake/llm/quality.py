@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import labelled
+from .scratch import Scratch, fresh
 from .textarray import ALNUM, LETTER, U, slices, words
 
 BINS = 13
@@ -176,7 +177,8 @@ def measured(docs: DataFrame, keep: tuple[str, ...], score=None) -> DataFrame:
                 last = pa.array(own.score(x)) if own is not None else pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([c.slice(part.first, n) for c in batch.columns[:-1]] + [last], names=[*keep, "x"])
 
-    source = docs.select(*keep, F.col("text").alias("_text"))
+    (text,) = fresh(docs, "_text")
+    source = docs.select(*keep, F.col("text").alias(text))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
     return source.mapInArrow(scan, ", ".join([*fields, f"x {'double' if score is not None else 'array<double>'}"]))
 
@@ -190,14 +192,18 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Learned from at most about ``labelled.FIT_ROWS`` documents labelled 1 and as many
     documents of any kind, both outside the held-out fold. Null and empty texts are
-    scored by their statistics, zeros. Without positives every score is below, without other documents above one half.
-    Repeated rows give equal rows; a null doc_id stays, with a null ``held_out``; other columns don't matter.
+    scored by their statistics, zeros; texts of any length by statistics of the whole.
+    Without positives every score is below, without other documents above one half.
+    Of a document labelled twice one label counts. Repeated rows give equal rows; a null
+    doc_id stays, with a null ``held_out``, and is never learned from. An empty table gives
+    no rows; other columns don't matter, whatever their names.
     """
-    learn = ~held_out(F.col("doc_id"))
-    good = labelled.sample(docs, labels.where("quality = 1"), "quality", learn)
+    learn, s = ~held_out(F.col("doc_id")), Scratch(docs.sparkSession, "quality")
+    good = labelled.sample(docs, labels.where("quality = 1"), "quality", learn, s)
     n = docs.count()
     thin = docs.where(learn & (labelled.share(F.col("doc_id"), 29) < labelled.FIT_ROWS / max(n, 1)))
-    p, u = (np.array(measured(x, ()).toPandas().x.tolist(), float).reshape(-1, len(NAMES)) for x in (good, thin))
+    # in one order, so that the fit is the same however the rows are dealt
+    p, u = (np.array(sorted(measured(x, ()).toPandas().x.map(tuple)), float).reshape(-1, len(NAMES)) for x in (good, thin))
     model = fit(p, u)
     return measured(docs, ("doc_id",), model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("x").alias("score"), (F.col("x") >= model.threshold).cast("int").alias("predicted")

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import labelled
+from .scratch import Scratch, fresh
 from .textarray import LETTER, LOWER, U, mix64, running, runs, slices, span_hash
 
 BITS = 20
@@ -98,8 +99,8 @@ def _counts(batches):
 
 def fit(rows: DataFrame, pairing: float = PAIRING) -> Model:
     """Fit on ``text, y``: a bounded table of labelled documents."""
-    # a task lists every feature of its documents, toxic or not: at most 2**BITS
-    counted = rows.select("text", "y").coalesce(12).mapInArrow(_counts, "feature long, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    # a task lists every feature of its documents, toxic or not: at most 2**BITS. The saved rows are few, and so are their tasks
+    counted = rows.select("text", "y").mapInArrow(_counts, "feature long, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counted = counted.where(f"feature < 0 or n1 >= {LEAST_DOCS}").toPandas()
     total = counted[counted.feature < 0][["n0", "n1"]].sum()
     t0, t1 = float(total.n0), float(total.n1)
@@ -142,6 +143,8 @@ def fit(rows: DataFrame, pairing: float = PAIRING) -> Model:
             )
 
     got = rows.select("text", "y").mapInArrow(project, "at array<int>, runs long, y int, origin array<int>").toPandas()
+    # in one order, so that sums of floats are the same however the rows are dealt
+    got = got.iloc[sorted(range(len(got)), key=lambda i: (got.runs[i], got.y[i], list(got["at"][i]), got.origin[i] is not None and list(got.origin[i]) or []))]
     real = got[got.origin.isna()]
     pairs = got[~got.origin.isna()]
 
@@ -170,8 +173,8 @@ def fit(rows: DataFrame, pairing: float = PAIRING) -> Model:
     return Model(weights, float(w[k]), float(w[k + 1]))
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``tox_score`` of every document, from one scan; null and empty texts are scored as no words."""
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "tox_score") -> DataFrame:
+    """``keep`` columns and the score, as ``name``, of every document, from one scan; null and empty texts are scored as no words."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # 4 MB, whatever the input
 
     def scan(batches):
@@ -180,33 +183,47 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
             for part in slices(batch.column(batch.num_columns - 1)):
                 n = len(part.offsets) - 1
                 s = own.score(*features(part.data, part.offsets))
-                yield pa.RecordBatch.from_arrays([c.slice(part.first, n) for c in batch.columns[:-1]] + [pa.array(s)], names=[*keep, "tox_score"])
+                yield pa.RecordBatch.from_arrays([c.slice(part.first, n) for c in batch.columns[:-1]] + [pa.array(s)], names=[*keep, name])
 
-    source = docs.select(*keep, F.col("text").alias("_text"))
+    (text,) = fresh(docs, "_text")
+    source = docs.select(*[docs[f"`{c}`"] for c in keep], docs["text"].alias(text))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInArrow(scan, f"{schema}, tox_score double")
+    return source.mapInArrow(scan, f"{schema}, `{name}` double")
 
 
 def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
 
+def _fitted(docs: DataFrame, labels: DataFrame) -> Model:
+    s = Scratch(docs.sparkSession, "toxicity")
+    return fit(labelled.sample(docs, labels, "toxic", ~held_out(F.col("doc_id")), s))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``.
 
     Fitted on at most about ``labelled.FIT_ROWS`` labelled documents whose
-    crc32(doc_id) mod 4 is not 2. Texts that are null, empty or without letters
-    get the score of a text without features. Without labelled rows of both kinds
-    every score is near 0 (or near 1 if all are toxic). Repeated rows give equal
-    rows, a null doc_id is kept with a null ``held_out``; other columns don't matter.
+    crc32(doc_id) mod 4 is not 2; the model is the same however the rows are dealt to tasks.
+    Texts that are null, empty or without letters get the score of a text without
+    features; a text of any length is scored whole, each feature counting once.
+    Without labelled rows of both kinds every score is near 0 (or near 1 if all are
+    toxic). Of a document labelled twice one label counts; repeated rows give equal
+    rows, a null doc_id is kept with a null ``held_out`` and never learned from.
+    An empty table gives no rows; other columns don't matter, whatever their names.
     """
-    model = fit(labelled.sample(docs, labels, "toxic", ~held_out(F.col("doc_id"))))
+    model = _fitted(docs, labels)
     return score(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("tox_score").alias("score"), (F.col("tox_score") >= model.threshold).cast("int").alias("predicted")
     )
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
-    """The documents that the classifier lets pass, with all their columns. Texts to learn from are those of ``fit_on``, else of ``docs``."""
-    model = fit(labelled.sample(docs if fit_on is None else fit_on, labels, "toxic", ~held_out(F.col("doc_id"))))
-    return score(docs, model, tuple(docs.columns)).where(F.col("tox_score") < model.threshold).drop("tox_score")
+    """The documents that the classifier lets pass, with all their columns. Texts to learn from are those of ``fit_on``, else of ``docs``.
+
+    Nulls, empty and very long texts, repeated rows and empty tables are as in ``toxicity``;
+    a column of any name stays.
+    """
+    model = _fitted(docs if fit_on is None else fit_on, labels)
+    (name,) = fresh(docs, "tox_score")
+    return score(docs, model, tuple(docs.columns), name).where(F.col(f"`{name}`") < model.threshold).drop(name)
