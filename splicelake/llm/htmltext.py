@@ -171,11 +171,15 @@ def first_pass(b: Block) -> bool | None:
     return True if stops >= STOPS_HIGH or stops >= STOPS_LOW and size >= LONG else None
 
 
-def second_pass(labels: list[bool | None], heading: list[bool]) -> list[bool]:
-    """Labels of a run of blocks, the undecided ones from their nearest decided neighbours; text where there are none."""
+def second_pass(labels: list[bool | None], heading: list[bool], edge: bool | None = None) -> list[bool]:
+    """Labels of a run of blocks, the undecided ones from their nearest decided neighbours, text on a tie.
+
+    ``edge`` is what stands before the first and after the last, None if that says nothing; a run of which nothing is decided is text.
+    """
+    labels, heading = [edge, *labels, edge], [False, *heading, False]
     decided = [i for i, x in enumerate(labels) if x is not None]
     out = []
-    for i, x in enumerate(labels):
+    for i, x in enumerate(labels[1:-1], 1):
         if x is None:
             k = bisect_left(decided, i)
             before, after = decided[k - 1] if k else None, decided[k] if k < len(decided) else None
@@ -185,21 +189,23 @@ def second_pass(labels: list[bool | None], heading: list[bool]) -> list[bool]:
                 x = labels[after if before is None else before]
             elif heading[i]:
                 x = labels[after]  # a heading belongs to what follows
+            elif i - before == after - i:
+                x = labels[before] or labels[after]
             else:
-                x = labels[before] if i - before <= after - i else labels[after]
+                x = labels[before if i - before < after - i else after]
         out.append(bool(x))
     return out
 
 
 def classify(found: list[Block]) -> list[bool]:
-    """Which blocks are article text. Blocks in and outside of an ``article`` are no neighbours; without one all are."""
+    """Which blocks are article text. Blocks in and outside of an ``article`` are no neighbours, and its edges count as text; without one all are."""
     out = [False] * len(found)
     for place in ("main", ""):
         at = [i for i, b in enumerate(found) if b.place == place]
         labels = [first_pass(found[i]) for i in at]
         if not place and True not in labels and any(b.place == "main" for b in found):
             continue  # what little stands beside an article isn't text unless some of it reads like text
-        for i, x in zip(at, second_pass(labels, [found[i].heading for i in at]), strict=True):
+        for i, x in zip(at, second_pass(labels, [found[i].heading for i in at], True if place else None), strict=True):
             out[i] = x
     return out
 
