@@ -202,6 +202,33 @@ def test_line_dedup_of_odd_rows(spark, odd):
     assert linedup.line_dedup(spark, odd.where("false")).count() == 0
 
 
+def test_short_boilerplate_of_all_documents_goes(spark):
+    rng = random.Random(41)
+    rows = [(k, f"{prose(rng, 14)}\nShare this article\n{prose(rng, 11)}", "s") for k in range(200)]
+    got = linedup.line_dedup(spark, docs(spark, rows)).collect()
+    assert all(r["n_dropped"] == 1 and "Share" not in r["text"] for r in got) and len(got) == 200
+
+
+def test_line_dedup_of_copies_beside_unrelated_texts(spark):
+    rng = random.Random(42)
+    passage = prose(rng, 60)
+    pair = "\n".join(prose(rng, 60) for _ in range(12))  # long lines, which go from two unrelated texts on
+    rows = [(1, pair, "s"), (2, pair.replace("the", "then", 1), "s"), (3, pair, "s")]
+    family = [prose(rng, 20) for _ in range(20)]
+    rows += [(10 + k, "\n".join([*family[:9], passage, *family[9:], f"edited {k}"]), "s") for k in range(4)] + [(20, f"{prose(rng, 30)}\n{passage}", "s")]
+    got = {r["doc_id"]: r for r in linedup.line_dedup(spark, docs(spark, rows)).collect()}
+    assert all(got[i]["n_dropped"] == 0 for i in (1, 2, 3))
+    assert all(passage not in got[i]["text"] and got[i]["n_dropped"] == 1 for i in (10, 11, 12, 13, 20))
+
+
+def test_line_dedup_of_a_text_of_many_lines(spark):
+    rng = random.Random(43)
+    lines = [prose(rng, 12) for _ in range(20_000)]
+    rows = [(k, f"{prose(rng, 12)}\n" + "\n".join(lines) + f"\n{prose(rng, 9)}" * 3000, "s") for k in range(3)]
+    got = linedup.line_dedup(spark, docs(spark, rows)).collect()
+    assert all(r["n_lines"] == 23_001 for r in got)
+
+
 def test_mixing(spark):
     rng = random.Random(9)
     rows = [(k, prose(rng, rng.randrange(1, 30)), rng.choice(["a"] * 30 + ["b"] * 8 + ["c", "d", None])) for k in range(3000)]
@@ -410,6 +437,29 @@ def test_warc_round_trip(spark, split):
     assert warc.round_trip(spark, pages.where("false")).count() == 0
 
 
+def test_warc_whose_splits_change_between_scans(spark, monkeypatch):
+    sizes = iter(["700", "128m", "900", "1500", "300"] * 20)
+
+    class Changing(Scratch):
+        def save(self, df, name):
+            out = super().save(df, name)
+            self.spark.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
+            return out
+
+    monkeypatch.setattr(warc, "Scratch", Changing)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = [(k, "u", f"<p>{k}</p>" + ("x" * 40 + "\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n" if k % 3 == 0 else "y" * (k * 7)) * 3) for k in range(60)]
+    try:
+        found = warc.round_trip(spark, spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+        got = {r["page_id"]: r for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 60
+    for k, _, html in rows:
+        assert got[k]["intact"] and got[k]["payload_digest"] == base64.b32encode(hashlib.sha1(html.encode()).digest()).decode() and got[k]["payload_bytes"] == len(html.encode())
+
+
 @pytest.mark.parametrize(
     "page,text",
     [
@@ -428,6 +478,38 @@ def test_html(page, text):
     assert htmltext.main_text(page) == text
 
 
+PROSE = "It is the story of the cat and the dog that was in the house. "
+
+
+def test_html_rules_decide_pages_without_an_article():
+    links = "".join(f"<li><a href='/{k}'>Section number {k} of the site</a></li>" for k in range(9))
+    body = [PROSE * 6, "Short one.", PROSE * 5, "xq zz 17; " * 40, PROSE * 4]
+    page = f"<body><div><ul>{links}</ul></div><div>" + "".join(f"<p>{t}</p>" for t in body) + f"</div><div><ul>{links}</ul><p>Contact</p></div></body>"
+    found = htmltext.blocks(page)
+    assert {b.place for b in found} == {""}
+    decided = [htmltext.first_pass(b) for b in found]
+    assert sum(x is not None for x in decided) >= 0.8 * len(decided) and decided.count(False) == 18
+    # ambiguous blocks take the label of their nearest decided neighbours
+    assert htmltext.main_text(page) == "\n\n".join(" ".join(t.split()) for t in body)
+
+
+def test_html_rules_decide_inside_an_article():
+    page = f"<article><p>{PROSE * 5}</p><ul><li><a href=x>{'Read this next ' * 6}</a></li></ul><p>End.</p></article>"
+    assert htmltext.main_text(page) == (PROSE * 5).strip() + "\n\nEnd."
+
+
+def test_html_in_time_in_proportion():
+    import time
+
+    def took(n):
+        began = time.perf_counter()
+        htmltext.main_text("<b>" * n + "<p></p>" * n + "<div>" * n + "<li>x" * n)
+        return time.perf_counter() - began
+
+    took(2000)
+    assert took(32_000) < 40 * max(took(2000), 0.005)
+
+
 def test_html_of_odd_rows(spark):
     df = spark.createDataFrame([(1, "u", None), (1, "u", None), (None, None, "<p>é</p>"), (2, "u", "<" * 100_000)], "page_id long, url string, html string").withColumn("text", F.lit(1))
     got = {(r["page_id"], r["text"][:2], r["n_chars"] < 2) for r in htmltext.extract(df).collect()}
@@ -528,3 +610,75 @@ def test_class_prior():
     p = rng.normal(2, 1, 5000)
     u = np.concatenate((rng.normal(2, 1, 3000), rng.normal(-3, 1, 2000)))
     assert abs(quality.class_prior(p, u) - 0.6) < 0.06
+
+
+CLASHES = "tox_score _tox_score _text _u _own _doc _hash _gone _source _target hash size copies taken target gone_lines own_hash text_hash n_lines n_dropped rounds below at score x y lang_pred".split()
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    rng = random.Random(44)
+    passage = prose(rng, 60)
+    rows = [(k, f"{prose(rng, 20)}\n{passage}\n{prose(rng, 20)}" + " grumbat" * (k % 4 == 0), f"s{k % 3}") for k in range(60)] + ODD
+    return docs(spark, rows).withColumns({c: F.lit(f"own {c}") for c in CLASHES}).cache()
+
+
+def test_stages_leave_columns_of_any_name_alone(spark, clashing):
+    marks = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(60)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "ten words that stand in no document at all, surely")], "item_id long, text string")
+    outs = {
+        "toxic": toxicity.without_toxic(clashing, marks),
+        "lines": linedup.without_lines(spark, clashing),
+        "copies": minhash.without_copies(spark, clashing),
+        "leaks": decontamination.without_leaks(spark, clashing, bench),
+    }
+    for name, out in outs.items():
+        assert out.columns == clashing.columns, name
+        got = out.collect()
+        assert got and all(r[c] == f"own {c}" for r in got for c in CLASHES), name
+    added = {"size", "copies", "taken", "target", "source_size"}
+    got = mixing.mix(spark, clashing).collect()
+    assert len(got) == clashing.count() and all(r[c] == f"own {c}" for r in got for c in CLASHES if c not in added)
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        lambda spark, d, lab: language.languages(d),
+        lambda spark, d, lab: minhash.near_duplicates(spark, d),
+        lambda spark, d, lab: media.media(spark, d),
+        lambda spark, d, lab: quality.quality(d, lab),
+        lambda spark, d, lab: mixing.mix(spark, d),
+        lambda spark, d, lab: toxicity.toxicity(d, lab),
+        lambda spark, d, lab: linedup.line_dedup(spark, d),
+    ],
+)
+def test_a_row_in_a_row_out_whatever_other_columns(spark, clashing, labels, query):
+    twice = clashing.union(clashing.where("doc_id = 4"))
+    assert query(spark, twice, labels).count() == twice.count()
+    assert query(spark, twice.where("false"), labels).count() == 0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from splicelake.llm import scratch
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), type("C", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError):
+        scratch.shared_dir(Session())
+
+
+def test_filters_of_keys(spark):
+    from splicelake.llm.textarray import bloom_of
+
+    df = spark.range(0, 40_000, 2).select(F.xxhash64("id").alias("key")).union(spark.range(3).select(F.lit(None).cast("long").alias("key")))
+    keys = np.array([r[0] for r in df.where("key is not null").collect()], np.int64).view(np.uint64)
+    others = np.array([r[0] for r in spark.range(1, 40_000, 2).select(F.xxhash64("id")).collect()], np.int64).view(np.uint64)
+    found = bloom_of(df, "key")
+    assert found.has(keys).all() and found.has(others).mean() < 0.02
+    assert not bloom_of(df.where("false"), "key").has(others).any()
