@@ -52,11 +52,6 @@ def longest_smallest_id(*keys) -> Window:
     return Window.partitionBy(*keys).orderBy(F.col("len").desc(), F.col("transcript_id").asc())
 
 
-def longest_largest_id(*keys) -> Window:
-    """Order by length, the longest first; of equal ones the largest id."""
-    return Window.partitionBy(*keys).orderBy(F.col("len").desc(), F.col("transcript_id").desc())
-
-
 def utr_regions(exons: Column, cds: Column, strand: Column) -> dict[str, Column]:
     """Five- and three-prime regions and codons that follow from a CDS; null without one or a strand.
 

@@ -2,17 +2,56 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session. Where it is unset, a temporary folder in local mode, and an error on a cluster."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="splicelake-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def delete(path: str) -> None:
+    """Remove a path in whatever store it is, as long as a session is there."""
+    sc = SparkContext._active_spark_context
+    if sc is not None and sc._jsc is not None:
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def until_exit(path: str) -> str:
+    """``path``, which goes when the session ends: results are read from it until then."""
+    _WRITTEN.append(path)
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for path in _WRITTEN:
+        with contextlib.suppress(Exception):
+            delete(path)
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint. The folder is the session's ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="splicelake-"))
-    return df.checkpoint()
+    """The rows, written to the shared folder and read again: a plan that is a scan, whose size Spark knows. Lost executors cost nothing of it."""
+    spark = df.sparkSession
+    at = until_exit(f"{shared_dir(spark)}/cut-{uuid.uuid4().hex[:12]}")
+    df.write.option("compression", "zstd").parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.intervals import longest_smallest_id, overlap_ratio, overlaps
+from ..functions.intervals import overlap_ratio, overlaps
 
 STRAND_KEY = ("seqname", "strand")
 BIN = 1 << 20
@@ -74,12 +74,11 @@ def consensus_groups(g: DataFrame, keys: tuple[str, ...] = (*STRAND_KEY, "locus"
 
 
 def boundaries(g: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Per group its size and the spans of its longest transcript: exons ``xs, xe``, introns (exons if it has none) ``is, ie``."""
+    """Per group its size and the spans of its longest transcript (of equal ones the smallest id): exons ``xs, xe``, introns (exons if it has none) ``is, ie``."""
     model = F.when(F.size("introns") > 0, F.col("introns")).otherwise(F.col("exons"))
-    rows = g.withColumn("_r", F.row_number().over(longest_smallest_id(*keys))).withColumn("n", F.count("*").over(Window.partitionBy(*keys)))
-    return rows.where("_r = 1").select(
-        *keys, "n", "n_exons", F.col("s").alias("xs"), F.col("e").alias("xe"), model[0]["s"].alias("is"), F.element_at(model, -1)["e"].alias("ie")
-    )
+    rep = F.struct("n_exons", F.col("s").alias("xs"), F.col("e").alias("xe"), model[0]["s"].alias("is"), F.element_at(model, -1)["e"].alias("ie"))
+    rows = g.groupBy(*keys).agg(F.count("*").alias("n"), F.min_by(rep, F.struct(-F.col("len"), "transcript_id")).alias("x"))
+    return rows.select(*keys, "n", "x.*")
 
 
 def lone_monoexons(t: DataFrame) -> DataFrame:
@@ -101,10 +100,16 @@ def cross_strand_groups(t: DataFrame, wanted: DataFrame) -> DataFrame:
     return g.where("_any and _n > 1").drop("_n", "_any", "_hit", "locus", "part")
 
 
-def intronic(g: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """``transcript_id`` of mono-exons, in groups of two or more, that overlap no exon of a multi-exonic member."""
-    own = g.select(*keys, "transcript_id", "n_exons", "exons", F.count("*").over(Window.partitionBy(*keys)).alias("_n")).where("_n > 1")
-    mono = own.where("n_exons = 1").select(*keys, "transcript_id", F.col("exons")[0].alias("x")).alias("a")
-    exons = own.where("n_exons > 1").select(*keys, F.explode("exons").alias("x")).distinct().alias("b")
-    same = F.expr(" and ".join(f"a.{k} = b.{k}" for k in keys))
-    return mono.join(exons, same & overlaps(F.col("a.x.s"), F.col("a.x.e"), F.col("b.x.s"), F.col("b.x.e")), "left_anti").select("a.transcript_id").distinct()
+def intronic(g: DataFrame, keys: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
+    """``by`` and ``transcript_id`` of mono-exons, in groups of two or more, that overlap no exon of a multi-exonic member.
+
+    Exons meet by bins of coordinates, in the bin where their overlap begins: a deep group is dealt out.
+    """
+    ids = [*by, "transcript_id"]
+    several = g.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    mono = g.where("n_exons = 1").select(*keys, "transcript_id", F.col("exons")[0]["s"].alias("s"), F.col("exons")[0]["e"].alias("e"))
+    exons = g.where("n_exons > 1").select(*keys, F.explode("exons").alias("x")).select(*keys, F.col("x.s").alias("xs"), F.col("x.e").alias("xe")).distinct()
+    bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / EXON_BIN), F.floor(F.col(e) / EXON_BIN)))
+    first = F.col("_bin") == F.floor(F.greatest("s", "xs") / EXON_BIN)
+    hits = mono.withColumn("_bin", bins("s", "e")).join(exons.withColumn("_bin", bins("xs", "xe")), [*keys, "_bin"]).where(first & overlaps(F.col("s"), F.col("e"), F.col("xs"), F.col("xe")))
+    return mono.join(several, list(keys), "left_semi").join(hits.select(*keys, "transcript_id").distinct(), [*keys, "transcript_id"], "left_anti").select(*ids).distinct()

@@ -11,6 +11,7 @@ from . import location, structure
 from .grouping import consensus_groups, intronic, overlap_groups
 from .structure import LOCUS
 
+# The points that length tables have.
 PERCENTILES = (0, 1, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55, 60, 65, 70, 75, 80, 85, 90, 95, 99, 100)
 
 
@@ -96,14 +97,12 @@ def transcript_genes(t: DataFrame, ids: DataFrame) -> DataFrame:
 
 def potentially_chimeric(t: DataFrame) -> DataFrame:
     """Genes with transcripts that span others."""
-    rest = structure.without(t, structure.uniform_consensus(t))
-    return transcript_genes(t, structure.chimeric(rest).where("label <> 'rejected_segment'"))
+    return transcript_genes(t, structure.spanning(structure.with_kinds(t).where("not uniform")).where("label <> 'rejected_segment'"))
 
 
 def potentially_split(t: DataFrame) -> DataFrame:
     """Genes with transcripts that others span."""
-    rest = structure.without(t, structure.uniform_consensus(t))
-    return transcript_genes(t, structure.chimeric(rest).where("label = 'rejected_segment'"))
+    return transcript_genes(t, structure.spanning(structure.with_kinds(t).where("not uniform")).where("label = 'rejected_segment'"))
 
 
 def potentially_fragmented(t: DataFrame, ratio: float = 0.7) -> DataFrame:
@@ -114,6 +113,25 @@ def potentially_fragmented(t: DataFrame, ratio: float = 0.7) -> DataFrame:
     return transcript_genes(t, g.join(many, list(LOCUS), "left_semi"))
 
 
+OTHER = ("unstranded", "intronic", "monoexonic_redundant", "monoexonic_antisense")
+
+
+def other_numbers(t: DataFrame, other: DataFrame) -> DataFrame:
+    """Genes and transcripts of each category of ``other_categories`` and their shares of all, also of those that have none."""
+    total = t.agg(F.count("*").alias("_t"), F.count_distinct("gene_id").alias("_g"))
+    names = t.sparkSession.createDataFrame([(x,) for x in OTHER], "category string")
+    counts = other.groupBy("category").agg(F.count_distinct("gene_id").alias("genes"), F.count_distinct("transcript_id").alias("transcripts"))
+    rows = names.join(counts, "category", "left").na.fill(0).crossJoin(total)  # one row
+    return rows.select("category", "genes", percent(F.col("genes"), F.col("_g")).alias("genes_pct"), "transcripts", percent(F.col("transcripts"), F.col("_t")).alias("transcripts_pct"))
+
+
+def interpolated(values: DataFrame, key: str = "category", points: tuple[int, ...] = PERCENTILES) -> DataFrame:
+    """``key, percentile, value``: percentiles that lie between two values in proportion."""
+    at = F.percentile("value", F.array(*[F.lit(p / 100) for p in points]))
+    rows = values.groupBy(key).agg(at.alias("v")).select(key, F.posexplode("v").alias("i", "value"))
+    return rows.select(key, F.element_at(F.array(*[F.lit(p) for p in points]), F.col("i") + 1).cast("long").alias("percentile"), "value")
+
+
 def other_categories(t: DataFrame) -> DataFrame:
     """``category, transcript_id, gene_id``: unstranded, intronic, monoexonic_redundant and monoexonic_antisense."""
     ids = t.select("transcript_id", "gene_id")

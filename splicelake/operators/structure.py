@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from .grouping import STRAND_KEY, boundaries, consensus_groups, intronic, overla
 
 LOCUS = (*STRAND_KEY, "locus")
 FEW = 3
+SPAN_BIN = 1 << 16
 
 
 def _ids(df: DataFrame) -> DataFrame:
@@ -33,20 +37,31 @@ def with_consensus(t: DataFrame) -> DataFrame:
     return cut(g.join(consensus_groups(g, LOCUS), [*LOCUS, "transcript_id"]))
 
 
+def locus_kinds(c: DataFrame) -> DataFrame:
+    """Per locus of ``with_consensus``: whether it is ``uniform``, of one consensus group, and whether two of its groups are ``apart``.
+
+    Two spans don't overlap if one begins after the other's end, which the largest start and
+    the smallest end tell, or if both are the same single position.
+    """
+    rep = boundaries(c, (*LOCUS, "consensus"))
+    apart = (F.max("xs") > F.min("xe")) | (F.count_if(F.col("xs") == F.col("xe")) > 1)
+    return rep.groupBy(*LOCUS).agg((F.count("*") == 1).alias("uniform"), apart.alias("apart"))
+
+
+def with_kinds(t: DataFrame) -> DataFrame:
+    """``with_consensus`` with the kind of each transcript's locus. What is left out by kind are whole loci: the other groups stay as they are."""
+    c = with_consensus(t)
+    return c.join(locus_kinds(c), list(LOCUS))
+
+
 def uniform_consensus(t: DataFrame) -> DataFrame:
     """``transcript_id`` in overlap groups of one consensus group only."""
-    c = with_consensus(t).select(*LOCUS, "transcript_id", "consensus")
-    w = Window.partitionBy(*LOCUS)
-    return c.withColumn("_one", F.min("consensus").over(w) == F.max("consensus").over(w)).where("_one").select("transcript_id")
+    return with_kinds(t).where("uniform").select("transcript_id")
 
 
 def segmented(t: DataFrame) -> DataFrame:
-    """``transcript_id, segmented``: whether two consensus groups of its locus have representatives that don't overlap."""
-    c = with_consensus(t)
-    rep = boundaries(c, (*LOCUS, "consensus")).select(*LOCUS, "consensus", "xs", "xe")
-    other = rep.select(*LOCUS, F.col("consensus").alias("c2"), F.col("xs").alias("s2"), F.col("xe").alias("e2"))
-    apart = rep.join(other, list(LOCUS)).where("consensus < c2").where(~overlaps(F.col("xs"), F.col("xe"), F.col("s2"), F.col("e2"))).select(*LOCUS).distinct().withColumn("_apart", F.lit(True))
-    return c.select(*LOCUS, "transcript_id").join(apart, list(LOCUS), "left").select("transcript_id", F.col("_apart").isNotNull().alias("segmented"))
+    """``transcript_id, segmented`` of loci that aren't uniform: whether two consensus groups of its locus have representatives that don't overlap."""
+    return with_kinds(t).where("not uniform").select("transcript_id", F.col("apart").alias("segmented"))
 
 
 def chimeric(t: DataFrame) -> DataFrame:
@@ -58,19 +73,31 @@ def chimeric(t: DataFrame) -> DataFrame:
     and a spanner rejected before is forgiven if it is in such a pair of a later one.
     A transcript may have two labels, as a segment of one spanner and itself a spanner.
     """
-    c = with_consensus(t)
-    key = (*LOCUS, "consensus")
-    b = boundaries(c, key).where("not (n = 1 and n_exons = 1)").select(*key, "n", "xs", "xe", "is", "ie")
-    named = lambda p: b.select(*LOCUS, *[F.col(x).alias(p + x) for x in ("consensus", "n", "xs", "xe", "is", "ie")])
-    col = F.col
-    higher = (col("an") > col("bn")) | ((col("an") == col("bn")) & (col("aconsensus") > col("bconsensus")))
-    pairs = named("a").join(named("b"), list(LOCUS)).where(higher)
-    pairs = pairs.where(~overlaps(col("axs"), col("axe"), col("bis"), col("bie")) & ~overlaps(col("ais"), col("aie"), col("bxs"), col("bxe")))
-    spans = pairs.join(named("c"), list(LOCUS)).where("cconsensus <> aconsensus and cconsensus <> bconsensus")
-    spans = spans.where(overlaps(col("cxs"), col("cxe"), col("axs"), col("axe")) & overlaps(col("cxs"), col("cxe"), col("bxs"), col("bxe")))
-    spans = spans.select(*LOCUS, F.col("cconsensus").alias("c"), F.struct(F.col("aconsensus").alias("a"), F.col("bconsensus").alias("b")).alias("pair"), (col("an") + col("bn") > col("cn") + 1).alias("fails"))
-    first = F.min(F.when(col("fails"), col("pair"))).over(Window.partitionBy(*LOCUS, "c"))
-    spans = cut(spans.withColumn("first", first))
+    return spanning(with_consensus(t))
+
+
+def _neighbours(b: DataFrame) -> DataFrame:
+    """Pairs of groups ``c`` and ``a`` of a locus whose spans overlap, met in the bin where the overlap begins."""
+    bins = F.explode(F.sequence(F.floor(F.col("xs") / SPAN_BIN), F.floor(F.col("xe") / SPAN_BIN))).alias("_bin")
+    c = b.select(*LOCUS, F.col("consensus").alias("c"), F.col("n").alias("cn"), F.col("xs").alias("cxs"), F.col("xe").alias("cxe"), bins)
+    a = b.select(*LOCUS, F.struct("consensus", "n", "xs", "xe", "is", "ie").alias("a"), bins)
+    first = F.col("_bin") == F.floor(F.greatest("cxs", "a.xs") / SPAN_BIN)
+    near = c.join(a, [*LOCUS, "_bin"]).where(first & (F.col("c") != F.col("a.consensus")) & overlaps(F.col("cxs"), F.col("cxe"), F.col("a.xs"), F.col("a.xe")))
+    return near.select(*LOCUS, "c", "cn", "a")
+
+
+def spanning(c: DataFrame) -> DataFrame:
+    """``chimeric`` of transcripts whose consensus groups are known. Only neighbours of a group are paired: a deep locus costs what overlaps in it."""
+    col, key = F.col, (*LOCUS, "consensus")
+    near = cut(_neighbours(boundaries(c, key).where("not (n = 1 and n_exons = 1)")))
+    pairs = near.join(near.select(*LOCUS, "c", col("a").alias("b")), [*LOCUS, "c"])
+    higher = (col("a.n") > col("b.n")) | ((col("a.n") == col("b.n")) & (col("a.consensus") > col("b.consensus")))
+    meet = lambda x, xs, xe, y, ys, ye: overlaps(col(f"{x}.{xs}"), col(f"{x}.{xe}"), col(f"{y}.{ys}"), col(f"{y}.{ye}"))
+    spans = pairs.where(higher & ~meet("a", "xs", "xe", "b", "is", "ie") & ~meet("a", "is", "ie", "b", "xs", "xe"))
+    spans = spans.select(*LOCUS, "c", F.struct(col("a.consensus").alias("a"), col("b.consensus").alias("b")).alias("pair"), (col("a.n") + col("b.n") > col("cn") + 1).alias("fails"))
+    spans = cut(spans)
+    first = spans.groupBy(*LOCUS, "c").agg(F.min(F.when(col("fails"), col("pair"))).alias("first"))
+    spans = cut(spans.join(first, [*LOCUS, "c"]))
     segments = spans.where("first is null or pair < first").select(*LOCUS, F.explode(F.array("pair.a", "pair.b")).alias("consensus")).distinct().withColumn("label", F.lit("rejected_segment"))
     accepted = spans.where("first is null").select(*LOCUS, F.col("c").alias("consensus")).distinct().withColumn("label", F.lit("accepted_overlap"))
     failing = spans.where("first is not null").select(*LOCUS, "c", "first").distinct()
@@ -82,33 +109,44 @@ def chimeric(t: DataFrame) -> DataFrame:
     return kept.select("transcript_id", "label").distinct()
 
 
-def fragments(t: DataFrame, ratio: float = 0.7) -> DataFrame:
+def fragments(t: DataFrame, ratio: float = 0.7, by: tuple[str, ...] = ()) -> DataFrame:
     """``transcript_id, label`` of each transcript: fragment, overextended, uniform, or accepted.
 
     Short ones are those under ``ratio`` of the longest of their overlap group. Numerous
     short ones that agree on their ends are uniform; few long ones beside them are
     overextended. Where a locus falls apart without its overextended transcripts, the part
     with the longest transcript (of equal ones the last) keeps its short ones.
+
+    Columns ``by`` tell sets of transcripts apart that are decided each on its own, in one pass.
     """
-    w = Window.partitionBy(*LOCUS)
-    g = overlap_groups(t.select(*STRAND_KEY, "transcript_id", "s", "e", "len", "n_exons", "exons"))
+    strand, ids = (*STRAND_KEY, *by), [*by, "transcript_id"]
+    locus = (*strand, "locus")
+    w = Window.partitionBy(*locus)
+    g = overlap_groups(t.select(*strand, "transcript_id", "s", "e", "len", "n_exons", "exons"), strand)
     g = cut(g.withColumn("long", F.col("len") / F.max("len").over(w) >= ratio))
-    side = (*LOCUS, "long")
+    side = (*locus, "long")
     c = g.join(consensus_groups(g, side), [*side, "transcript_id"])
     c = c.withColumns({"_c": F.count("*").over(Window.partitionBy(*side, "consensus")), "_accepted": F.count_if("long").over(w)})
     c = c.withColumn("uniform", ~F.col("long") & (F.col("_c") > FEW) & (F.col("_c") > F.col("_accepted")))
     c = c.withColumn("_u", F.count_if("uniform").over(w))
     c = c.withColumn("over", F.col("long") & (F.col("_u") > FEW) & (F.col("_c") < FEW) & (F.col("_c") < F.col("_u")))
-    c = cut(c.withColumn("_any", F.bool_or("over").over(w)).select(*LOCUS, "transcript_id", "s", "e", "len", "n_exons", "exons", "long", "uniform", "over", "_any"))
-    rest = overlap_groups(c.where("_any and not over").withColumnRenamed("locus", "whole"), (*STRAND_KEY, "whole"))
-    parts = rest.groupBy(*STRAND_KEY, "whole", "locus").agg(F.max("len").alias("m"))
-    order = Window.partitionBy(*STRAND_KEY, "whole").orderBy(F.col("m").desc(), F.col("locus").desc())
-    best = parts.withColumns({"_r": F.row_number().over(order), "_n": F.count("*").over(Window.partitionBy(*STRAND_KEY, "whole"))}).where("_r = 1 and _n > 1")
-    spared = rest.join(best.select(*STRAND_KEY, "whole", "locus"), [*STRAND_KEY, "whole", "locus"], "left_semi").select("transcript_id").withColumn("_spared", F.lit(True))
-    inside = intronic(c, LOCUS).withColumn("_in", F.lit(True))
-    out = c.join(inside, "transcript_id", "left").join(spared, "transcript_id", "left")
+    c = cut(c.withColumn("_any", F.bool_or("over").over(w)).select(*locus, "transcript_id", "s", "e", "len", "n_exons", "exons", "long", "uniform", "over", "_any"))
+    whole = (*strand, "whole")
+    rest = overlap_groups(c.where("_any and not over").withColumnRenamed("locus", "whole"), whole)
+    parts = rest.groupBy(*whole, "locus").agg(F.max("len").alias("m"))
+    best = parts.groupBy(*whole).agg(F.max(F.struct("m", "locus")).alias("x"), F.count("*").alias("_n")).where("_n > 1").select(*whole, F.col("x.locus").alias("locus"))
+    spared = rest.join(best, [*whole, "locus"], "left_semi").select(*ids).withColumn("_spared", F.lit(True))
+    inside = intronic(c, locus, by).withColumn("_in", F.lit(True))
+    out = c.join(inside, ids, "left").join(spared, ids, "left")
     fragment = ~F.col("long") & F.col("_in").isNull() & ~F.col("uniform") & F.col("_spared").isNull()
-    return out.select("transcript_id", F.when(F.col("over"), "overextended").when(F.col("uniform"), "uniform").when(fragment, "fragment").otherwise("accepted").alias("label"))
+    return out.select(*ids, F.when(F.col("over"), "overextended").when(F.col("uniform"), "uniform").when(fragment, "fragment").otherwise("accepted").alias("label"))
+
+
+class Decision(NamedTuple):
+    """What the structural stage decided: a label of every transcript, and sets of ids (``transcript_id, set``) that help to look into it."""
+
+    labels: DataFrame
+    sets: DataFrame
 
 
 def structural(t: DataFrame, ratio: float = 0.7, add: frozenset[str] = frozenset(("overextended",)), disable_chimeric: bool = False, semantics: str = "reference") -> DataFrame:
@@ -116,42 +154,56 @@ def structural(t: DataFrame, ratio: float = 0.7, add: frozenset[str] = frozenset
 
     With ``reference`` semantics the chimeric decision over an empty subset is taken over all transcripts.
     """
-    t = cut(t.select(*STRAND_KEY, "transcript_id", "s", "e", "len", "n_exons", "exons", "introns"))
+    return decide(t, ratio, add, disable_chimeric, semantics).labels
 
-    def overlap_analysis(ids: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        part = t if semantics == "reference" and ids.isEmpty() else subset(t, ids)
-        found = cut(chimeric(part))
-        return tuple(_ids(found.where(F.col("label") == x)) for x in ("accepted_overlap", "rejected_overlap", "rejected_segment"))
-
-    def fragment_analysis(part: DataFrame) -> DataFrame:
-        return cut(fragments(part, ratio))
-
-    only = lambda df: _ids(df.where("label = 'fragment'"))
-    uniform = cut(_ids(uniform_consensus(t)))
-    groups = cut(segmented(without(t, uniform)))
-    ovl, flat = _ids(groups.where("segmented")), _ids(groups.where("not segmented"))
-    pa, po, ps = overlap_analysis(ovl)
-    first = fragment_analysis(without(t, po))
-    over, even = _ids(first.where("label = 'overextended'")), _ids(first.where("label = 'uniform'"))
-    bad = only(first)
-    for x in (flat, pa, po, ps):
-        bad = bad.union(only(fragment_analysis(subset(t, x))))
-    bad = cut(bad.distinct())
-    _, ro, rs = overlap_analysis(cut(without(ovl, bad)))
-    bad = cut(bad.union(only(fragment_analysis(without(t, uniform, ro, rs, bad)))).distinct())
-    ro = cut(without(ro, rs, bad))
-    rs = cut(without(rs, ro, bad))
-    if "intronic" not in add:
-        bad = bad.union(intronic(overlap_groups(t), LOCUS))
+
+def decide(t: DataFrame, ratio: float = 0.7, add: frozenset[str] = frozenset(("overextended",)), disable_chimeric: bool = False, semantics: str = "reference") -> Decision:
+    """The labels of ``structural``, and the sets overextended, uniform_fragments, overlap_accepted, overlap_rejected and overlap_refined.
+
+    Uniform, segmented and other loci are whole loci, so their consensus groups are formed once, over
+    all transcripts; the decisions about fragments of several sets are taken in one pass.
+    """
+    t = cut(t.select(*STRAND_KEY, "transcript_id", "s", "e", "len", "n_exons", "exons", "introns"))
+    kinds = ("accepted_overlap", "rejected_overlap", "rejected_segment")
+    split = lambda found: [_ids(found.where(F.col("label") == x)) for x in kinds]
+    everything = semantics == "reference"
+
+    grouped = with_consensus(t)
+    loci = cut(locus_kinds(grouped))
+    uniform = _ids(grouped.join(loci.where("uniform"), list(LOCUS), "left_semi"))
+    apart = grouped.join(loci.where("apart and not uniform"), list(LOCUS), "left_semi")
+    ovl = _ids(apart)
+    none = loci.where("apart and not uniform").isEmpty()
+    pa, po, ps = split(cut(spanning(grouped if everything and none else apart)))
+
+    # a locus that isn't segmented stays whole beside the rejected ones, so the first set decides it too,
+    # unless spanners were looked for everywhere
+    flat = _ids(grouped.join(loci.where("not apart and not uniform"), list(LOCUS), "left_semi"))
+    parts = [without(t, po), *(subset(t, x) for x in (pa, po, ps)), *([subset(t, flat)] if none else [])]
+    tagged = reduce(DataFrame.union, [part.withColumn("_set", F.lit(k)) for k, part in enumerate(parts)])
+    first = cut(fragments(tagged, ratio, ("_set",)))
+    over, even = (_ids(first.where((F.col("_set") == 0) & (F.col("label") == x))) for x in ("overextended", "uniform"))
+    early = cut(_ids(first.where("label = 'fragment'")))
+
+    left = cut(without(subset(t, ovl), early))
+    selected, ro, rs = split(cut(chimeric(t if everything and left.isEmpty() else left)))
+    more = fragments(without(t, uniform, ro, rs, early), ratio).where("label = 'fragment'")
+    bad = cut(early.union(_ids(more)).distinct())
+    # of those in two sets neither a rejected segment nor a fragment counts as a rejected overlap, and no fragment as a segment
+    spanner = without(ro, rs, bad)
+    segment = without(rs, spanner, bad)
+    accepted = selected.union(without(pa, ro, rs, bad)).distinct()
+    named = {"overextended": over, "uniform_fragments": even, "overlap_accepted": accepted, "overlap_rejected": spanner, "overlap_refined": without(selected, po, bad)}
+    sets = reduce(DataFrame.union, [_ids(ids).select("transcript_id", F.lit(name).alias("set")) for name, ids in named.items()])
+
+    gone = bad if "intronic" in add else bad.union(intronic(overlap_groups(t), LOCUS))
     if "uniform" not in add:
-        bad = bad.union(even)
-    label = [(bad, "fragment"), (over, "overextended")] if "overextended" not in add else [(bad, "fragment")]
+        gone = gone.union(even)
+    label = [(gone, "fragment"), (over, "overextended")] if "overextended" not in add else [(gone, "fragment")]
     if not disable_chimeric:
-        label += [(ro, "rejected_overlap"), (rs, "rejected_segment")]
+        label += [(spanner, "rejected_overlap"), (segment, "rejected_segment")]
     order = {"rejected_segment": 0, "rejected_overlap": 1, "fragment": 2, "overextended": 3}
-    marks = None
-    for ids, name in label:
-        one = _ids(ids).select("transcript_id", F.struct(F.lit(order[name]).alias("o"), F.lit(name).alias("l")).alias("m"))
-        marks = one if marks is None else marks.union(one)
+    marks = reduce(DataFrame.union, [_ids(ids).select("transcript_id", F.struct(F.lit(order[name]).alias("o"), F.lit(name).alias("l")).alias("m")) for ids, name in label])
     marks = marks.groupBy("transcript_id").agg(F.min("m").alias("m"))
-    return t.select("transcript_id").join(marks, "transcript_id", "left").select("transcript_id", F.coalesce("m.l", F.lit("accepted")).alias("label"))
+    labels = t.select("transcript_id").join(marks, "transcript_id", "left").select("transcript_id", F.coalesce("m.l", F.lit("accepted")).alias("label"))
+    return Decision(labels, sets)

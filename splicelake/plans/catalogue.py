@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.intervals import chain
 from ..operators import finish, grouping, location, redundancy, report, structure, support
-from . import adapter
+from . import adapter, filequeries
+from .fileoracle import FILE_SQL
 from .oracle import SQL
 
 LOCUS = structure.LOCUS
@@ -27,10 +28,6 @@ def _support(spark: SparkSession, d: str, reads: int, samples: int) -> DataFrame
     return support.junction_support(adapter.junctions(spark, d), reads, samples)
 
 
-def _segmented(t: DataFrame) -> DataFrame:
-    return structure.segmented(structure.without(t, structure.uniform_consensus(t)))
-
-
 def _boundaries(t: DataFrame) -> DataFrame:
     return grouping.boundaries(structure.with_consensus(t), (*LOCUS, "consensus")).select(*LOCUS, "consensus", "n", "xs", "xe", F.col("is").alias("ints"), F.col("ie").alias("inte"))
 
@@ -66,8 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "abundance_labels": lambda spark, d: support.by_abundance(adapter.transcripts(spark, d), adapter.quant(spark, d), 1, 3),
     "intronic": _t(lambda t: grouping.intronic(grouping.overlap_groups(t), LOCUS)),
     "uniform_consensus": _t(structure.uniform_consensus),
-    "segmented_groups": _t(_segmented),
-    "chimeric": _t(lambda t: structure.chimeric(structure.subset(t, _segmented(t).where("segmented")))),
+    "segmented_groups": _t(structure.segmented),
+    "chimeric": _t(lambda t: structure.spanning(structure.with_kinds(t).where("apart and not uniform"))),
     "fragments": _t(structure.fragments),
     "structural_labels": _t(structure.structural),
     "reannotate_ids": _t(lambda t: finish.reannotate(t, "NEW")),
@@ -85,6 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "splice_junctions": _t(report.splice_junctions),
     "sj_percentiles": lambda spark, d: report.junction_percentiles(adapter.junctions(spark, d)),
     "id_mapping": _t(finish.mapping),
-}
+} | filequeries.QUERIES
 
-ORACLE_SQL: dict[str, str] = SQL
+ORACLE_SQL: dict[str, str] = SQL | FILE_SQL

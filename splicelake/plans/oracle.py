@@ -1,19 +1,21 @@
 """DuckDB SQL that states the queries over again, on its own terms: plain windows and nested queries over the driver's tables."""
 
-BASE = """
+KEYS = """
 l as (select l_orderkey k, count(*) c from lineitem group by l_orderkey),
 t0 as (select k, k%5 ch, cast(floor(k/5) as bigint)%2 sd, cast(floor(k/60) as bigint) locus, k%3 off,
   case when k%53=0 then 14 else least(c,5) end n from l where k%60 < 57),
-ex as (select concat('chr',cast(ch as varchar)) seqname, case when k%41=0 then '.' when sd=0 then '+' else '-' end strand,
+px as (select k, n, v.i, concat('chr',cast(ch as varchar)) seqname, case when k%41=0 then '.' when sd=0 then '+' else '-' end strand,
   concat('G',lpad(cast(locus*10+ch*2+sd as varchar),9,'0')) gene_id, concat('T',lpad(cast(k as varchar),9,'0')) transcript_id,
   cast(locus*1000+(off+v.i)*100+1-(case when v.i=1 and k%4=0 then 10 else 0 end) as bigint) s,
   cast(locus*1000+(off+v.i)*100+40+(case when v.i=n and k%7=0 then 15 else 0 end) as bigint) e
-  from t0 join range(1, 15) v(i) on v.i<=n),
+  from t0 join range(1, 15) v(i) on v.i<=n),"""
+MODEL = """
 intr as (select * from (select seqname, strand, gene_id, transcript_id, e+1 s, lead(s) over (partition by transcript_id order by s,e)-1 e from ex) where e is not null),
 tr as (select seqname, strand, gene_id, transcript_id, min(s) s, max(e) e, max(e)-min(s)+1 len, count(*) nx,
   min_by(e, s) fe, max(s) ls from ex group by all),
 ch as (select transcript_id, string_agg(concat(s,'-',e), ',' order by s) chain, min(s) ism, max(e) iem from intr group by 1)
 """
+BASE = KEYS + "\nex as (select seqname, strand, gene_id, transcript_id, s, e from px)," + MODEL
 
 # overlap of (s1, e1) and (s2, e2) in the sense of a ratio above 0
 def _ov(a: str, b: str, c: str, d: str) -> str:
@@ -92,8 +94,8 @@ def chimeric(name: str, source: str) -> str:
   where label <> 'rejected_segment' or transcript_id not in (select transcript_id from {name}_in))"""
 
 
-def _q(select: str, *ctes: str) -> str:
-    return "with " + ",\n".join(c.strip().strip(",") for c in (BASE, *ctes)) + "\n" + select
+def _q(select: str, *ctes: str, base: str = BASE) -> str:
+    return "with " + ",\n".join(c.strip().strip(",") for c in (base, *ctes)) + "\n" + select
 
 
 KEPT = """
@@ -171,14 +173,16 @@ STRUCTURAL = (
     UNI, SEG,
     "ovl as (select * from tr where transcript_id in (select transcript_id from seg where segmented))",
     "flt as (select * from tr where transcript_id in (select transcript_id from seg where not segmented))",
-    chimeric("oa", "ovl"),
+    "o1s as (select * from ovl union all select * from tr where not exists (select 1 from ovl))",
+    chimeric("oa", "o1s"),
     _where("f1s", "tr", "not " + _in("oa", "rejected_overlap")), fragments("f1", "f1s"),
     fragments("f2", "flt"),
     _where("f3s", "tr", _in("oa", "accepted_overlap")), fragments("f3", "f3s"),
     _where("f4s", "tr", _in("oa", "rejected_overlap")), fragments("f4", "f4s"),
     _where("f5s", "tr", _in("oa", "rejected_segment")), fragments("f5", "f5s"),
     "fa as (select transcript_id from (select * from f1 union all select * from f2 union all select * from f3 union all select * from f4 union all select * from f5) where label='fragment')",
-    _where("o2s", "ovl", "not " + _in("fa")), chimeric("ob", "o2s"),
+    _where("o2l", "ovl", "not " + _in("fa")),
+    "o2s as (select * from o2l union all select * from tr where not exists (select 1 from o2l))", chimeric("ob", "o2s"),
     _where("f6s", "tr", "not " + _in("uni") + " and not " + _in("ob", "rejected_overlap") + " and not " + _in("ob", "rejected_segment") + " and not " + _in("fa")), fragments("f6", "f6s"),
     "fb as (select transcript_id from fa union select transcript_id from f6 where label='fragment')",
     f"ro as (select distinct transcript_id from ob where label='rejected_overlap' and not {_in('ob', 'rejected_segment')} and not {_in('fb')})",
@@ -186,6 +190,7 @@ STRUCTURAL = (
     islands("ai", "tr"), intronic("ain", "ai"),
     f"fr as (select transcript_id from fb union select transcript_id from ain union select transcript_id from f1 where label='uniform')",
 )
+LABELS = f"select transcript_id, case when {_in('rs')} then 'rejected_segment' when {_in('ro')} then 'rejected_overlap' when {_in('fr')} then 'fragment' else 'accepted' end label from tr"
 CHIM = (UNI, chimeric("oc", "nuni"))
 
 
@@ -193,6 +198,19 @@ def _genes(ids: str) -> str:
     return f"select gene_id, count(distinct transcript_id) n, string_agg(distinct transcript_id, ';' order by transcript_id) transcripts from tr where {ids} group by 1"
 
 
+RENAMED = (
+    refined("rg", "tr"),
+    "gs as (select *, min(s) over (partition by seqname, strand, locus, part) gst from rg)",
+    """nn as (select *, dense_rank() over (partition by seqname order by gst, case strand when '+' then 0 when '-' then 1 else 2 end, part) n,
+  'NEW_' || seqname || 'G' || printf('%06d', 10*dense_rank() over (partition by seqname order by gst, case strand when '+' then 0 when '-' then 1 else 2 end, part)) ggid from gs)""",
+)
+NEW_IDS = """select transcript_id, gene_id, ggid group_gene_id, ggid || '.RTD.' || row_number() over (partition by seqname, strand, locus, part order by s, e, transcript_id) new_transcript_id,
+  first(ggid) over (partition by gene_id order by seqname, n) new_gene_id from nn"""
+PADDED = (
+    refined("rg", "tr"),
+    "pg as (select transcript_id, s, e, min(s) over w l, max(e) over w r from rg window w as (partition by seqname, strand, locus, part))",
+    "pe as (select x.transcript_id, case when x.s=g.s then l else x.s end s, case when x.e=g.e then r else x.e end e from ex x join pg g using (transcript_id))",
+)
 _PCT = "coalesce(round(cast(100.0*{} as double)/nullif({},0), 1), 0.0)"
 
 SQL: dict[str, str] = {
@@ -226,13 +244,9 @@ SQL: dict[str, str] = {
     "segmented_groups": _q("select transcript_id, segmented from seg", UNI, SEG),
     "chimeric": _q("select transcript_id, label from ca", UNI, SEG, "ovl as (select * from tr where transcript_id in (select transcript_id from seg where segmented))", chimeric("ca", "ovl")),
     "fragments": _q("select transcript_id, label from f", fragments("f", "tr")),
-    "structural_labels": _q(f"select transcript_id, case when {_in('rs')} then 'rejected_segment' when {_in('ro')} then 'rejected_overlap' when {_in('fr')} then 'fragment' else 'accepted' end label from tr", *STRUCTURAL),
-    "reannotate_ids": _q("""select transcript_id, gene_id, ggid group_gene_id, ggid || '.RTD.' || row_number() over (partition by seqname, strand, locus, part order by s, e, transcript_id) new_transcript_id,
-  first(ggid) over (partition by gene_id order by seqname, n) new_gene_id from nn""", refined("rg", "tr"),
-        "gs as (select *, min(s) over (partition by seqname, strand, locus, part) gst from rg)",
-        "nn as (select *, dense_rank() over (partition by seqname order by gst, case strand when '+' then 0 when '-' then 1 else 2 end, part) n, 'NEW_' || seqname || 'G' || printf('%06d', 10*dense_rank() over (partition by seqname order by gst, case strand when '+' then 0 when '-' then 1 else 2 end, part)) ggid from gs)"),
-    "padded_exons": _q("""select x.transcript_id, case when x.s=g.s then l else x.s end s, case when x.e=g.e then r else x.e end e from ex x join pg g using (transcript_id)""", refined("rg", "tr"),
-        "pg as (select transcript_id, s, e, min(s) over w l, max(e) over w r from rg window w as (partition by seqname, strand, locus, part))"),
+    "structural_labels": _q(LABELS, *STRUCTURAL),
+    "reannotate_ids": _q(NEW_IDS, *RENAMED),
+    "padded_exons": _q("select transcript_id, s, e from pe", *PADDED),
     "scaffold_counts": _q(f"""select coalesce(seqname,'') || strand scaffold, count(distinct gene_id) genes, {_PCT.format("count(distinct gene_id)", "(select count(distinct gene_id) from tr)")} genes_pct, count(*) transcripts, {_PCT.format("count(*)", "(select count(*) from tr)")} transcripts_pct
   from tr group by grouping sets ((seqname, strand), (strand))"""),
     "gene_categories": _q("select coalesce(kind,'total') kind, count(*) genes, cast(sum(isoforms) as bigint) transcripts from kd group by rollup (kind)", KIND),

@@ -21,10 +21,10 @@ def _numbered(spark: SparkSession, paths: list[str] | str, glob: str) -> DataFra
     return lines.select("value", F.col("_metadata.file_path").alias("path"), at.alias("line_no"))
 
 
-def gtf(spark: SparkSession, paths: list[str] | str, tag: str | None = None, glob: str = "*") -> DataFrame:
+def gtf(spark: SparkSession, paths: list[str] | str, tag: str | None = None, glob: str = "*", exact: bool = False) -> DataFrame:
     """Rows of annotation files: nine fields, both ids, no comment lines; ``start`` and ``end`` in order.
 
-    ``line_no`` orders the rows of a file. Given a ``tag``, ids end with it.
+    ``line_no`` orders the rows of a file. Given a ``tag``, ids end with it. ``exact`` reads ids from whole attribute names only.
     """
     rows = _numbered(spark, paths, glob).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
     f = F.split("value", "\t")
@@ -35,18 +35,18 @@ def gtf(spark: SparkSession, paths: list[str] | str, tag: str | None = None, glo
         rows = rows.withColumn("attr", tagged(F.col("attr"), F.lit(tag)))
     a, b = F.col("start").cast("long"), F.col("end").cast("long")
     return (
-        rows.withColumns({"gene_id": attribute(F.col("attr"), "gene_id"), "transcript_id": attribute(F.col("attr"), "transcript_id"), "s": F.least(a, b), "e": F.greatest(a, b)})
+        rows.withColumns({"gene_id": attribute(F.col("attr"), "gene_id", exact), "transcript_id": attribute(F.col("attr"), "transcript_id", exact), "s": F.least(a, b), "e": F.greatest(a, b)})
         .where("gene_id is not null and transcript_id is not null and s is not null and e is not null")
         .select(F.col("path").alias("file_tag"), "line_no", "seqname", "source", "feature", "s", "e", "score", "strand", "frame", "attr", "gene_id", "transcript_id", "raw_line")
     )
 
 
-def annotations(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+def annotations(spark: SparkSession, manifest: DataFrame, exact: bool = False) -> DataFrame:
     """All files of a manifest as one table. Ids get their file's tag where there are several files."""
     files = manifest.collect()  # one row a file
     if len({r["File_tag"] for r in files}) != len(files):
         raise ValueError("file tags must be unique")
-    rows = gtf(spark, [r["File_path"] for r in files])
+    rows = gtf(spark, [r["File_path"] for r in files], exact=exact)
     if len(files) < 2:
         return rows
     names = F.broadcast(manifest.select(F.col("File_path").alias("_path"), F.col("File_tag").alias("_tag")))
@@ -55,7 +55,7 @@ def annotations(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     attr = tagged(F.col("attr"), F.col("_tag"))
     rows = rows.withColumns({"attr": attr, "file_tag": F.col("_tag")}).drop("_path", "_tag")
     raw = F.concat_ws("\t", F.slice(F.split("raw_line", "\t"), 1, 8)[0], *[F.split("raw_line", "\t")[i] for i in range(1, 8)], "attr")
-    return rows.withColumns({"gene_id": attribute(F.col("attr"), "gene_id"), "transcript_id": attribute(F.col("attr"), "transcript_id"), "raw_line": raw})
+    return rows.withColumns({"gene_id": attribute(F.col("attr"), "gene_id", exact), "transcript_id": attribute(F.col("attr"), "transcript_id", exact), "raw_line": raw})
 
 
 def _paths(spark: SparkSession, folder: str, glob: str) -> DataFrame:

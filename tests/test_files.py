@@ -160,6 +160,76 @@ def test_run_over_assemblies(spark, tmp_path, annotation):
     assert ">asm_c1G000010.RTD.1" in text(tmp_path / "asm_annotation" / "fasta")
 
 
+def stamped(folder):
+    return {p.parent.name: p.stat().st_mtime_ns for p in (folder / "stages").glob("*/_SUCCESS")}
+
+
+def test_a_run_that_resumes_repeats_no_stage(spark, tmp_path, annotation):
+    c = dict(outpath=str(tmp_path), outname="r", references=str(annotation), keep=frozenset(("removed", "intermediary", "exploratory")))
+    (annotation / "one.gtf").write_text((annotation / "one.gtf").read_text() + "".join(line("exon", s, s + 100, f"d{k}", "g9") for k in range(2) for s in (8000, 8500)))
+    first = Run(spark, Config(**c))().select("transcript_id", "s", "e").collect()
+    out = tmp_path / "r_annotation"
+    before = stamped(out)
+    assert {"references_model", "merged_redundancy", "merged_location", "merged_structure", "structure_sets"} <= set(before)
+    assert 'transcript_id "d0"' in "".join(p.read_text() for p in (out / "removed" / "merged_redundancy" / "gtf").rglob("part-*"))
+    assert 'transcript_id "d1"' in text(out / "intermediary" / "merged_structure") and "all done" in text(out / "log")
+    assert "Transcript_ID" in text(out / "report" / "IDs_other_categories_intronic") or (out / "report" / "IDs_other_categories_intronic").exists()
+    with pytest.raises(ValueError):
+        Run(spark, Config(**c))()
+    # a stage that was lost is made again, the others aren't
+    import shutil
+
+    shutil.rmtree(out / "stages" / "merged_structure")
+    again = Run(spark, Config(**c, resume=True))
+    assert sorted(map(tuple, again().select("transcript_id", "s", "e").collect())) == sorted(map(tuple, first))
+    after = stamped(out)
+    assert {k for k in before if before[k] != after[k]} == {"merged_structure"}
+    assert any("merged_redundancy: taken" in x for _, x in again.lines)
+    with pytest.raises(ValueError):
+        Run(spark, Config(**c, resume=True, fragment_len=0.5))()
+
+
+def test_a_run_hands_over_to_a_quantifier(spark, tmp_path, annotation, capsys):
+    (annotation / "one.gtf").write_text(line("exon", 100, 200, "a") + line("exon", 300, 400, "a"))
+    for name in ("sj", "reads", "quant"):
+        (tmp_path / name).mkdir()
+    (tmp_path / "sj" / "xSJ.out.tab").write_text("c1\t201\t299\t1\t1\t0\t9\t0\t30\n")
+    for k in (1, 2):
+        (tmp_path / "reads" / f"s_R{k}.fastq").write_text("@r\nA\n+\nI\n")
+    (tmp_path / "g.fa").write_text(">c1\n" + "ACGTACGTAC" * 50 + "\n")
+    args = f"--assemblies {annotation} --sj-data {tmp_path}/sj --genome {tmp_path}/g.fa --outpath {tmp_path} --outname q".split()
+    assert main([*args, "--fastq", str(tmp_path / "reads")]) == 3 and "--resume" in capsys.readouterr().out
+    at = tmp_path / "q_annotation" / "quantify"
+    assert ">a\n" in text(at / "transcripts") and "s_R1.fastq" in text(at / "reads")
+    (tmp_path / "quant" / "x.sf").write_text("Name\tLength\tEffectiveLength\tTPM\tNumReads\na\t10\t9\t5.0\t3\n")
+    assert main([*args, "--quant", str(tmp_path / "quant"), "--resume"]) == 0
+    assert "q_c1G000010.RTD.1" in text(tmp_path / "q_annotation" / "final")
+
+
+def test_report_of_one_annotation_needs_a_place(annotation):
+    with pytest.raises(SystemExit):
+        main(["--report-only", str(annotation / "one.gtf")])
+
+
+def test_ids_from_whole_names(spark, annotation):
+    (annotation / "one.gtf").write_text('c1\tsrc\texon\t1\t9\t.\t+\t.\tref_gene_id "r"; gene_id "g"; transcript_id "t";\n')
+    (annotation / "two.gtf").write_text('c1\tsrc\texon\t1\t9\t.\t+\t.\tref_gene_id "r"; gene_id "g"; transcript_id "t";\n')
+    m = files.annotation_manifest(spark, str(annotation))
+    assert {r["gene_id"] for r in files.annotations(spark, m).collect()} == {"r"}
+    assert {r["gene_id"] for r in files.annotations(spark, m, exact=True).collect()} == {"g_file1", "g_file2"}
+
+
+def test_splicing_across_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "PIECE", 7)
+    bases = "ACGTTGCAGCATTACGGATCCATG"
+    genome = spark.createDataFrame([("c", bases), ("other", "AC")], "seqname string, sequence string")
+    rows = [("c", "+", "g", "p", 3, 16), ("c", "+", "g", "p", 20, 30), ("c", "-", "g", "m", 7, 8), ("c", "-", "g", "m", 14, 15), ("x", "+", "g", "no", 1, 2), ("other", "+", "g", "beyond", 5, 9)]
+    t = model.transcripts(spark.createDataFrame(rows, "seqname string, strand string, gene_id string, transcript_id string, s long, e long"))
+    back = str.maketrans("ACGT", "TGCA")
+    want = {"p": bases[2:16] + bases[19:], "m": (bases[6:8] + bases[13:15]).translate(back)[::-1], "beyond": ""}
+    assert dict(map(tuple, sinks.spliced(t, genome).collect())) == want
+
+
 def test_incremental_winners(spark, tmp_path):
     from splicelake.streaming.incremental import winners
 
