@@ -279,9 +279,13 @@ def blockwise(s: Scratch, docs: DataFrame, cast: DataFrame, reps: DataFrame, k:
     # dealt by block: a partitioning by scope alone would put a large scope into one task
     placed = placed.repartition(*part, "block")
     blocks = s.save(placed.groupBy(*part, "block").agg(F.collect_list(F.struct("rep", "root", "sig", "shingles")).alias("members")), "blocks")
-    left = blocks.where("not main").select("scope", F.struct("level", "block").alias("i"), F.col("members").alias("x"), F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level"))
-    right = blocks.select("scope", "main", "level", F.struct("level", "block").alias("j"), F.col("members").alias("y"))
-    pairs = left.join(right, ["scope", "level"]).where("main or i <= j").select("x", "y")
+    # which blocks meet follows from their names; then each pair fetches its two blocks by name, so no task holds a scope
+    left = blocks.where("not main").select("scope", F.col("level").alias("lx"), F.col("block").alias("ix"), F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level"))
+    right = blocks.select("scope", "main", "level", "block")
+    pairs = left.join(right, ["scope", "level"]).where("main or struct(lx, ix) <= struct(level, block)")
+    x = blocks.where("not main").select("scope", F.col("level").alias("lx"), F.col("block").alias("ix"), F.col("members").alias("x"))
+    y = blocks.withColumnRenamed("members", "y")
+    both = pairs.join(x, ["scope", "lx", "ix"]).join(y, [*part, "block"]).select("x", "y")
 
     def compare(batches):
         for batch in batches:
@@ -306,5 +310,4 @@ def blockwise(s: Scratch, docs: DataFrame, cast: DataFrame, reps: DataFrame, k:
                     found += [(min(ix[a], iy[b]), max(ix[a], iy[b])) for b in good[first]]
                 yield pa.RecordBatch.from_arrays([pa.array([int(f[i]) for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    small = pairs.repartition(F.col("x")[0]["rep"], F.col("y")[0]["rep"])
-    return small.mapInArrow(compare, "a long, b long").distinct()
+    return both.mapInArrow(compare, "a long, b long").distinct()

@@ -2,42 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
 import uuid
 
-from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-_ROOTS: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Where it is unset, a temporary folder in local mode, and an error on a cluster."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="splicelake-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def _delete(path: str) -> None:
-    sc = SparkContext._active_spark_context
-    if sc is not None and sc._jsc is not None:
-        at = sc._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
-
-
-@atexit.register
-def _clean() -> None:
-    """Results are read from these folders until the session ends; then they go."""
-    for root in _ROOTS:
-        with contextlib.suppress(Exception):
-            _delete(root)
+from ..functions.lineage import delete, shared_dir, until_exit
 
 
 class Scratch:
@@ -45,8 +14,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-        _ROOTS.append(self.root)
+        self.root = until_exit(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -59,7 +27,7 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Remove a table that no later plan reads."""
-        _delete(self.path(name))
+        delete(self.path(name))
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
