@@ -42,25 +42,32 @@ def _field(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value))
 
 
+def _among(keys: DataFrame):
+    """A test of long columns for the ``key`` of a saved table, by a filter that may say yes wrongly."""
+    seen = bloom_of(keys, "key")
+
+    @F.pandas_udf("boolean")
+    def maybe(column: pd.Series) -> pd.Series:
+        return pd.Series(seen.has(column.fillna(0).to_numpy("int64").view(U)))
+
+    return maybe
+
+
 def plan_records(pages: DataFrame, s: Scratch, least: int) -> DataFrame:
-    """``page_id, url, html, sha, refers_to`` of pages: the smallest page_id with the same payload if that is another one.
+    """``page_id, url, html, sha, refers_to, tied`` of pages: the smallest page_id with the same payload if that is another one, and whether rows may share the page_id.
 
-    Payloads aren't shuffled but for those whose digest a filter of fixed size takes for repeated.
+    Payloads aren't shuffled but for those whose digest a filter takes for repeated.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("sha", F.sha1(F.col("html").cast("binary")))
     slim = rows.where(F.octet_length("html") >= least).where("page_id is not null").select("page_id", "sha")
     first = slim.groupBy("sha").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first <> last")
     first = s.save(first.select("sha", "first", F.xxhash64("sha").alias("key")), "repeated")
-    seen = bloom_of(first, "key")
-
-    @F.pandas_udf("boolean")
-    def maybe(keys: pd.Series) -> pd.Series:
-        return pd.Series(seen.has(keys.to_numpy("int64").view(U)))
-
-    marked = rows.withColumn("maybe", maybe(F.xxhash64("sha")))
-    alone = marked.where("not maybe").select("page_id", "url", "html", "sha", F.lit(None).cast("long").alias("refers_to"))
+    tied = s.save(pages.where("page_id is not null").groupBy(F.col("page_id").cast("long").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key"), "tied")
+    marked = rows.withColumn("maybe", _among(first)(F.xxhash64("sha"))).withColumn("tied", F.col("page_id").isNull() | _among(tied)(F.col("page_id").cast("long")))
+    names = ("page_id", "url", "html", "sha")
+    alone = marked.where("not maybe").select(*names, F.lit(None).cast("long").alias("refers_to"), "tied")
     refers = F.when((F.octet_length("html") >= least) & (F.col("first") != F.col("page_id")), F.col("first"))
-    twice = marked.where("maybe").join(first.drop("key"), "sha", "left").select("page_id", "url", "html", "sha", refers.cast("long").alias("refers_to"))
+    twice = marked.where("maybe").join(first.drop("key"), "sha", "left").select(*names, refers.cast("long").alias("refers_to"), "tied")
     return alone.union(twice)
 
 
@@ -72,10 +79,12 @@ def write(spark: SparkSession, pages: DataFrame, path: str, s: Scratch, least: i
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("html").cast("string"), F.lit(END)
     )
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("html")))
-    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
+    name = lambda c, more=F.lit(""): F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), more, F.lit(">"))
+    # a record id names one record, also where rows share a page_id or have none
+    own = name(F.col("page_id"), F.when(F.col("tied"), F.concat(F.lit(":"), F.uuid())).otherwise(""))
     head = _header(
         F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
-        _field("WARC-Record-ID", name(F.col("page_id"))),
+        _field("WARC-Record-ID", own),
         F.lit(f"WARC-Date: {DATE}"),
         _field("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]", " ")),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("sha")))),
@@ -199,7 +208,7 @@ def round_trip(spark: SparkSession, pages: DataFrame, least: int = 0) -> DataFra
     s = Scratch(spark, "warc")
     write(spark, pages, s.path("archive"), s, least)
     found = read(spark, s.path("archive"), s)
-    number = lambda c: F.nullif(F.regexp_extract(c, "<urn:page:(-?[0-9]*)>", 1), F.lit("")).cast("long")
+    number = lambda c: F.nullif(F.regexp_extract(c, "<urn:page:(-?[0-9]*)[:>]", 1), F.lit("")).cast("long")
     rows = s.save(found.select(number("record_id").alias("page_id"), number("refers_to").alias("refers_to"), "type", "url", "digest", "payload_bytes", base32(F.col("sha")).alias("own")), "found")
     responses = rows.where("type = 'response'").select(
         "page_id", "payload_bytes", F.col("own").alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), "url", (F.col("own") == F.col("digest")).alias("intact")

@@ -437,6 +437,14 @@ def test_warc_round_trip(spark, split):
     assert warc.round_trip(spark, pages.where("false")).count() == 0
 
 
+def test_record_ids_are_unique(spark):
+    pages = spark.createDataFrame(page_rows() * 2, "page_id long, url string, html string")
+    s = Scratch(spark, "w")
+    warc.write(spark, pages, s.path("archive"), s)
+    ids = [r["record_id"] for r in warc.read(spark, s.path("archive"), s).collect()]
+    assert len(ids) == 2 * len(page_rows()) == len(set(ids))
+
+
 def test_warc_whose_splits_change_between_scans(spark, monkeypatch):
     sizes = iter(["700", "128m", "900", "1500", "300"] * 20)
 
