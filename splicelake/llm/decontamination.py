@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .textarray import ALNUM, LOWER, U, running, runs, slices, span_hash
+from .textarray import ALNUM, LOWER, U, running, runs, slices, span_hash, tidy
 
 WINDOW, STRIDE = 64, 32
 SCALES = (8, 16, 32, 64)  # windows of documents: a passage is searched in the smallest that takes it
@@ -35,7 +35,7 @@ LCS, LCS_WITH_ANSWER = 0.7, 0.5
 EXACT_BELOW = 8  # words of an item that must be contained word by word
 ANSWER_WORDS = 8
 COMMONEST = 0.25  # share of a passage's words that the first test leaves out, the commonest
-CELLS = 1 << 22  # numbers that the first test holds at once
+CELLS = 1 << 21  # numbers that the first test holds at once
 #: Benchmark passages held in a task at once; more are taken in turns, each a scan.
 AT_ONCE = 4096
 
@@ -201,7 +201,7 @@ def _frequencies(docs: DataFrame, known: np.ndarray) -> tuple[np.ndarray, int]:
                 df += np.bincount(feature, minlength=DIMENSIONS)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((np.flatnonzero(df), [-1]))), pa.array(np.concatenate((df[df > 0], [n])))], names=["feature", "n"])
 
-    got = docs.select("text").mapInArrow(scan, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+    got = docs.select("text").mapInArrow(tidy(scan), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(DIMENSIONS, np.int64)
     is_feature = got.feature >= 0
     df[got.feature[is_feature]] = got.n[is_feature]
@@ -358,7 +358,7 @@ def _search(spark: SparkSession, docs: DataFrame, blocks: list[Block], idf, know
                 [pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()))], names=["doc_id", "item_id", "cosine", "lcs", "answer"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, item_id long, cosine double, lcs double, answer boolean")
+    return docs.select("doc_id", "text").mapInArrow(tidy(scan), "doc_id long, item_id long, cosine double, lcs double, answer boolean")
 
 
 def _words_of(b: Block, begin, end, inside, feature) -> tuple[np.ndarray, np.ndarray]:

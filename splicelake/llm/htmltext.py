@@ -17,7 +17,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .textarray import slices
+from .textarray import slices, tidy
 
 # Frequent function words of the languages at hand.
 STOP_WORDS = frozenset(
@@ -234,7 +234,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*first, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     source = pages.select("page_id", "url", "html")
-    return source.mapInArrow(scan, f"page_id {source.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
+    return source.mapInArrow(tidy(scan), f"page_id {source.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
 
 
 #: What the rules come to on pages whose article is one ``article`` element of headings and paragraphs without links, as all of ``pages`` are.

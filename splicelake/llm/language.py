@@ -7,7 +7,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textarray import slices
+from .textarray import slices, tidy
 
 #: Bounds of what is learned: languages, the commonest first, and bytes of plain text of each. Whole texts
 #: are drawn until a dictionary has them, those that are longer than a dictionary only where others don't fill it.
@@ -113,7 +113,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
                 )
 
     source = docs.select("doc_id", "text")
-    return source.mapInArrow(scan, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+    return source.mapInArrow(tidy(scan), f"doc_id {source.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .textarray import U, Bloom, bloom_of, byte_table, slices
+from .textarray import U, Bloom, bloom_of, byte_table, slices, tidy
 
 UNIT = 64  # payloads are padded to a positive multiple of it
 LEAST, MOST = 512, 8192  # bytes of a chunk; only a payload's last may have fewer
@@ -106,7 +106,6 @@ def _digests(batches):
         for _, texts in _texts(batch):
             times = Counter(d for text in texts for d, _ in chunks(padded(text)))
             yield _table([(d, _short(d), n) for d, n in times.items()], "digest binary, key long, n long", (pa.binary(), pa.int64(), pa.int64()))
-    pa.default_memory_pool().release_unused()
 
 
 def _containers(repeated: Bloom):
@@ -121,7 +120,6 @@ def _containers(repeated: Bloom):
                     own = b"".join(p for (_, p), away in zip(parts, stored, strict=True) if not away)
                     out.append((doc_id, len(text), hashlib.sha256(payload).digest(), len(payload), _manifest(parts), stored, own))
                 yield _table(out, CONTAINER, _CONTAINER_TYPES)
-        pa.default_memory_pool().release_unused()
 
     return scan
 
@@ -138,7 +136,6 @@ def _stored(repeated: Bloom):
                     found.update(x for x, y in zip(parts, away, strict=True) if y)
                 told = told | found.keys() if len(told) < REMEMBERED else set(found)
                 yield _table(list(found.items()), "digest binary, bytes binary", (pa.binary(), pa.binary()))
-        pa.default_memory_pool().release_unused()
 
     return scan
 
@@ -146,10 +143,10 @@ def _stored(repeated: Bloom):
 def store(spark: SparkSession, docs: DataFrame, s: Scratch) -> tuple[DataFrame, DataFrame]:
     """Write the containers and the chunk store of ``docs`` (``doc_id, text``); returns both as tables."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = source.select("text").mapInArrow(_digests, "digest binary, key long, n long").groupBy("digest", "key").agg(F.sum("n").alias("n")).where("n > 1")
+    counted = source.select("text").mapInArrow(tidy(_digests), "digest binary, key long, n long").groupBy("digest", "key").agg(F.sum("n").alias("n")).where("n > 1")
     wanted = bloom_of(s.save(counted.select("key"), "repeated"), "key")
-    containers = s.save(source.mapInArrow(_containers(wanted), CONTAINER), "containers")
-    kept = source.select("text").mapInArrow(_stored(wanted), "digest binary, bytes binary").groupBy("digest").agg(F.first("bytes").alias("bytes"))
+    containers = s.save(source.mapInArrow(tidy(_containers(wanted)), CONTAINER), "containers")
+    kept = source.select("text").mapInArrow(tidy(_stored(wanted)), "digest binary, bytes binary").groupBy("digest").agg(F.first("bytes").alias("bytes"))
     return containers, s.save(kept, "chunks")
 
 
@@ -192,7 +189,6 @@ def _read_own(batches):
                 at += n
             rows.append((doc_id, *_result(n_bytes, name, manifest, parts)))
         yield _table(rows, f"doc_id long, {RESULT}", (pa.int64(), *_RESULT_TYPES))
-    pa.default_memory_pool().release_unused()
 
 
 def _read_joined(batches):
@@ -209,20 +205,19 @@ def _read_joined(batches):
                     at += n
             rows.append((name, *_result(n_bytes, name, manifest, parts)))
         yield _table(rows, f"name binary, {RESULT}", (pa.binary(), *_RESULT_TYPES))
-    pa.default_memory_pool().release_unused()
 
 
 def restore(containers: DataFrame, store: DataFrame, s: Scratch) -> DataFrame:
     """``doc_id`` and RESULT of every container, computed from the bytes read back."""
     away = F.array_contains("stored", True)
-    alone = containers.where(~away).select("doc_id", "n_bytes", "name", "manifest", "own").mapInArrow(_read_own, f"doc_id long, {RESULT}")
+    alone = containers.where(~away).select("doc_id", "n_bytes", "name", "manifest", "own").mapInArrow(tidy(_read_own), f"doc_id long, {RESULT}")
     # payloads with stored chunks are put together once for all documents that have them
     mixed = containers.where(away)
     kinds = s.save(mixed.groupBy("name", "n_bytes").agg(*[F.first(c).alias(c) for c in ("manifest", "stored", "own")]), "kinds")
     each = kinds.select("name", "n_bytes", F.posexplode("stored").alias("place", "away"), "manifest").where("away")
     wanted = each.select("name", "n_bytes", "place", F.substring("manifest", F.col("place") * ENTRY + 1, F.lit(20)).alias("digest"))
     got = wanted.join(store, "digest").groupBy("name", "n_bytes").agg(F.collect_list(F.struct("place", "bytes")).alias("got"))
-    whole = kinds.join(got, ["name", "n_bytes"]).mapInArrow(_read_joined, f"name binary, {RESULT}")
+    whole = kinds.join(got, ["name", "n_bytes"]).mapInArrow(tidy(_read_joined), f"name binary, {RESULT}")
     whole = s.save(whole, "whole")
     return alone.union(mixed.select("doc_id", "name", "n_bytes").join(whole, ["name", "n_bytes"]).select("doc_id", *[f.split()[0] for f in RESULT.split(", ")]))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import Scratch, fresh
-from .textarray import Bloom, U, bloom_of, mix64, shingles, slices, words
+from .textarray import U, Bloom, bloom_of, mix64, shingles, slices, tidy, words
 
 SLOTS = 128
 ROWS = 5  # of a band
@@ -92,7 +92,7 @@ def signatures(docs: DataFrame, k: int, m: int = SLOTS, bands: int = BANDS, rows
                     names=["doc_id", "n_shingles", "d1", "d2", "sig", "buckets"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_shingles long, d1 long, d2 long, sig binary, buckets array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(scan), "doc_id long, n_shingles long, d1 long, d2 long, sig binary, buckets array<long>")
 
 
 def shingle_sets(docs: DataFrame, k: int, wanted: Bloom) -> DataFrame:
@@ -112,7 +112,7 @@ def shingle_sets(docs: DataFrame, k: int, wanted: Bloom) -> DataFrame:
                 sets = pa.ListArray.from_arrays(pa.array(at), pa.array(value.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(part.first, n), sets], names=["doc_id", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, shingles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(scan), "doc_id long, shingles array<long>")
 
 
 def _alike(pairs: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def _alike(pairs: DataFrame) -> DataFrame:
             keep = pa.array((a == b).mean(axis=1) >= SIGHT)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(count, "a long, b long")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(tidy(count), "a long, b long")
 
 
 class Linker:
@@ -310,4 +310,4 @@ def blockwise(s: Scratch, docs: DataFrame, cast: DataFrame, reps: DataFrame, k:
                     found += [(min(ix[a], iy[b]), max(ix[a], iy[b])) for b in good[first]]
                 yield pa.RecordBatch.from_arrays([pa.array([int(f[i]) for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return both.mapInArrow(compare, "a long, b long").distinct()
+    return both.mapInArrow(tidy(compare), "a long, b long").distinct()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import labelled
 from .scratch import Scratch, fresh
-from .textarray import ALNUM, LETTER, U, slices, words
+from .textarray import ALNUM, LETTER, U, slices, tidy, words
 
 BINS = 13
 
@@ -180,7 +180,7 @@ def measured(docs: DataFrame, keep: tuple[str, ...], score=None) -> DataFrame:
     (text,) = fresh(docs, "_text")
     source = docs.select(*keep, F.col("text").alias(text))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-    return source.mapInArrow(scan, ", ".join([*fields, f"x {'double' if score is not None else 'array<double>'}"]))
+    return source.mapInArrow(tidy(scan), ", ".join([*fields, f"x {'double' if score is not None else 'array<double>'}"]))
 
 
 def held_out(doc_id: Column) -> Column:

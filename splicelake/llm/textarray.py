@@ -90,6 +90,16 @@ def slices(column: pa.Array, target: int = SLICE_BYTES) -> Iterator[Slice]:
         row = end
 
 
+def tidy(scan):
+    """A task's function over batches that gives unused memory back when it ends: workers are kept for other tasks."""
+
+    def run(batches):
+        yield from scan(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 class Words(NamedTuple):
     row: np.ndarray  # of the slice
     start: np.ndarray

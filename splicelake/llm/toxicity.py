@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import labelled
 from .scratch import Scratch, fresh
-from .textarray import LETTER, LOWER, U, mix64, running, runs, slices, span_hash
+from .textarray import LETTER, LOWER, U, mix64, running, runs, slices, span_hash, tidy
 
 BITS = 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -100,7 +100,7 @@ def _counts(batches):
 def fit(rows: DataFrame, pairing: float = PAIRING) -> Model:
     """Fit on ``text, y``: a bounded table of labelled documents."""
     # a task lists every feature of its documents, toxic or not: at most 2**BITS. The saved rows are few, and so are their tasks
-    counted = rows.select("text", "y").mapInArrow(_counts, "feature long, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = rows.select("text", "y").mapInArrow(tidy(_counts), "feature long, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counted = counted.where(f"feature < 0 or n1 >= {LEAST_DOCS}").toPandas()
     total = counted[counted.feature < 0][["n0", "n1"]].sum()
     t0, t1 = float(total.n0), float(total.n1)
@@ -188,7 +188,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), na
     (text,) = fresh(docs, "_text")
     source = docs.select(*[docs[f"`{c}`"] for c in keep], docs["text"].alias(text))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInArrow(scan, f"{schema}, `{name}` double")
+    return source.mapInArrow(tidy(scan), f"{schema}, `{name}` double")
 
 
 def held_out(doc_id: Column) -> Column:

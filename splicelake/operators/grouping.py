@@ -17,20 +17,19 @@ def overlap_groups(t: DataFrame, keys: tuple[str, ...] = STRAND_KEY, bin_size: i
 
     Gaps and islands in two levels, so that one sequence isn't one task: rows are
     scanned within bins of coordinates, and what earlier bins reach is carried over
-    from one row per bin.
+    from one row per bin. An island that opens in a bin when seen alone opens there unless
+    earlier bins reach it, so the last one of a bin follows from its row alone too.
     """
-    bins = F.floor(F.col("s") / bin_size)
     here = Window.partitionBy(*keys, "_bin").orderBy("s", "transcript_id")
     before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("_bin", bins)
-    tops = t.groupBy(*keys, "_bin").agg(F.max("e").alias("_top")).withColumn("_reach", F.max("_top").over(before)).drop("_top")
-    reach = F.greatest(F.max("e").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reach"))
-    flagged = t.join(tops, [*keys, "_bin"]).withColumn("_open", F.coalesce(F.col("s") > reach, F.lit(True)))
-    started = F.when(F.col("_open"), F.col("s"))
-    last = flagged.groupBy(*keys, "_bin").agg(F.max(started).alias("_last")).withColumn("_carried", F.max("_last").over(before)).drop("_last")
-    out = flagged.join(last, [*keys, "_bin"])
-    locus = F.coalesce(F.max(started).over(here.rowsBetween(Window.unboundedPreceding, 0)), F.col("_carried"))
-    return out.withColumn("locus", locus).drop("_bin", "_reach", "_open", "_carried")
+    rows = t.withColumn("_bin", F.floor(F.col("s") / bin_size)).withColumn("_in", F.max("e").over(here.rowsBetween(Window.unboundedPreceding, -1)))
+    beyond = lambda at, reach: F.coalesce(F.col(at) > F.col(reach), F.col(at).isNotNull())
+    bins = rows.groupBy(*keys, "_bin").agg(F.max("e").alias("_top"), F.max(F.when(beyond("s", "_in"), F.col("s"))).alias("_lone"))
+    bins = bins.withColumn("_reach", F.max("_top").over(before)).withColumn("_last", F.when(beyond("_lone", "_reach"), F.col("_lone")))
+    bins = bins.select(*keys, "_bin", "_reach", F.max("_last").over(before).alias("_carried"))
+    opened = F.when(beyond("s", "_in") & beyond("s", "_reach"), F.col("s"))
+    locus = F.coalesce(F.max(opened).over(here.rowsBetween(Window.unboundedPreceding, 0)), F.col("_carried"))
+    return rows.join(bins, [*keys, "_bin"]).withColumn("locus", locus).drop("_bin", "_in", "_reach", "_carried")
 
 
 def refined_groups(t: DataFrame, keys: tuple[str, ...] = STRAND_KEY, threshold: float = 0.25) -> DataFrame:

@@ -126,7 +126,8 @@ def fragments(t: DataFrame, ratio: float = 0.7, by: tuple[str, ...] = ()) -> Dat
     g = cut(g.withColumn("long", F.col("len") / F.max("len").over(w) >= ratio))
     side = (*locus, "long")
     c = g.join(consensus_groups(g, side), [*side, "transcript_id"])
-    c = c.withColumns({"_c": F.count("*").over(Window.partitionBy(*side, "consensus")), "_accepted": F.count_if("long").over(w)})
+    # by locus first: the finer windows find their rows where they are
+    c = c.withColumn("_accepted", F.count_if("long").over(w)).withColumn("_c", F.count("*").over(Window.partitionBy(*side, "consensus")))
     c = c.withColumn("uniform", ~F.col("long") & (F.col("_c") > FEW) & (F.col("_c") > F.col("_accepted")))
     c = c.withColumn("_u", F.count_if("uniform").over(w))
     c = c.withColumn("over", F.col("long") & (F.col("_u") > FEW) & (F.col("_c") < FEW) & (F.col("_c") < F.col("_u")))
