@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, fillmiddle, filteraudit, htmltext, language, linedup, media, minhash, mixing, quality, toxicity, warc
+from . import decontamination, fillmiddle, filteraudit, htmltext, language, linedup, media, metrictree, minhash, mixing, quality, toxicity, warc
 from .scratch import Scratch
 
 
@@ -54,6 +55,10 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.line_dedup(spark, _read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op11_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrictree.top_k(spark, _read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fillmiddle.fill_middle(_read(spark, sf_dir, "documents"))
 
@@ -69,8 +74,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op2_warc, op3_minhash, op4_html, op5_media, op6_decontamination, op7_quality, op8_mixing, op9_toxicity, op10_linededup, op12_fill_middle, op13_filter_audit, pipeline)}
+    return {f.__name__: f for f in (op1_language, op2_warc, op3_minhash, op4_html, op5_media, op6_decontamination, op7_quality, op8_mixing, op9_toxicity, op10_linededup, op11_metric_tree, op12_fill_middle, op13_filter_audit, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE_SQL, "op4_html": htmltext.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL, "op10_linededup": linedup.ORACLE_SQL, "op12_fill_middle": fillmiddle.ORACLE_SQL, "op13_filter_audit": filteraudit.ORACLE_SQL}
+    return {"op2_warc": warc.ORACLE_SQL, "op4_html": htmltext.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL, "op10_linededup": linedup.ORACLE_SQL, "op11_metric_tree": metrictree.ORACLE_SQL, "op12_fill_middle": fillmiddle.ORACLE_SQL, "op13_filter_audit": filteraudit.ORACLE_SQL}
