@@ -6,30 +6,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.intervals import overlap_ratio, overlaps
+from ..functions.lineage import cut
 
 STRAND_KEY = ("seqname", "strand")
-BIN = 1 << 20
+#: Positions of a bin in which starts are scanned, and of one in which exons meet.
+BIN = 1 << 16
 EXON_BIN = 1 << 12
 
 
 def overlap_groups(t: DataFrame, keys: tuple[str, ...] = STRAND_KEY, bin_size: int = BIN) -> DataFrame:
     """``t`` with ``locus``: where the chain of overlapping transcripts begins that it belongs to.
 
-    Gaps and islands in two levels, so that one sequence isn't one task: rows are
-    scanned within bins of coordinates, and what earlier bins reach is carried over
-    from one row per bin. An island that opens in a bin when seen alone opens there unless
-    earlier bins reach it, so the last one of a bin follows from its row alone too.
+    Transcripts that begin together are of one island, so each start counts once, with the
+    farthest end from it (a partial maximum, however many begin there). Gaps and islands of starts
+    take two levels: they are scanned within bins of coordinates, of at most ``bin_size`` rows
+    each by that, and what earlier bins reach is carried over from one row per bin. An island
+    that opens in a bin when seen alone opens there unless earlier bins reach it, so the last one of a bin
+    follows from its row alone too.
     """
-    here = Window.partitionBy(*keys, "_bin").orderBy("s", "transcript_id")
+    here = Window.partitionBy(*keys, "_bin").orderBy("s")
     before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    rows = t.withColumn("_bin", F.floor(F.col("s") / bin_size)).withColumn("_in", F.max("e").over(here.rowsBetween(Window.unboundedPreceding, -1)))
+    starts = t.groupBy(*keys, "s").agg(F.max("e").alias("_e")).withColumn("_bin", F.floor(F.col("s") / bin_size))
+    starts = starts.withColumn("_in", F.max("_e").over(here.rowsBetween(Window.unboundedPreceding, -1)))
     beyond = lambda at, reach: F.coalesce(F.col(at) > F.col(reach), F.col(at).isNotNull())
-    bins = rows.groupBy(*keys, "_bin").agg(F.max("e").alias("_top"), F.max(F.when(beyond("s", "_in"), F.col("s"))).alias("_lone"))
+    bins = starts.groupBy(*keys, "_bin").agg(F.max("_e").alias("_top"), F.max(F.when(beyond("s", "_in"), F.col("s"))).alias("_lone"))
     bins = bins.withColumn("_reach", F.max("_top").over(before)).withColumn("_last", F.when(beyond("_lone", "_reach"), F.col("_lone")))
     bins = bins.select(*keys, "_bin", "_reach", F.max("_last").over(before).alias("_carried"))
     opened = F.when(beyond("s", "_in") & beyond("s", "_reach"), F.col("s"))
     locus = F.coalesce(F.max(opened).over(here.rowsBetween(Window.unboundedPreceding, 0)), F.col("_carried"))
-    return rows.join(bins, [*keys, "_bin"]).withColumn("locus", locus).drop("_bin", "_in", "_reach", "_carried")
+    loci = starts.join(bins, [*keys, "_bin"]).select(*keys, "s", locus.alias("locus"))
+    return t.join(loci, [*keys, "s"]).select(*[F.col(f"`{c}`") for c in t.columns], "locus")
 
 
 def refined_groups(t: DataFrame, keys: tuple[str, ...] = STRAND_KEY, threshold: float = 0.25) -> DataFrame:
@@ -54,22 +60,54 @@ def consensus_groups(g: DataFrame, keys: tuple[str, ...] = (*STRAND_KEY, "locus"
     belongs to the largest set of a transcript and its neighbours that it is in
     (then to the one whose first id is larger, then to the smaller list);
     ``consensus`` is the smallest id of those that share the choice.
+
+    Transcripts with equal first and equal last exons have the same neighbours, so the graph is
+    one of such classes, with a weight each: thousands of alike transcripts are one row. A set is known by
+    its weight, its first id and a hash of its classes; lists of classes are made only
+    where weight and first id leave a choice open. They are in the order of the lists of ids: of equal
+    weight, the smaller list has the smallest id that isn't in both, which is the first of its class.
     """
     keys = tuple(keys)
+    one = lambda name: F.col(f"{name}.s") == F.col(f"{name}.e")
     ends = g.select(*keys, "transcript_id", F.col("exons")[0].alias("f"), F.element_at("exons", -1).alias("l"))
-    # first exons that overlap share a bin, the first one of their overlap counts: no pair twice, and a deep locus is dealt out
+    # a single position doesn't overlap an equal one: such a transcript is a class by itself
+    ends = ends.withColumn("_lone", F.when(one("f") | one("l"), F.col("transcript_id")).otherwise(F.lit("")))
+    classes = cut(ends.groupBy(*keys, "f", "l", "_lone").agg(F.min("transcript_id").alias("c"), F.count("*").alias("n")))
+    pairs = cut(_class_pairs(classes, keys))
+
+    sets = pairs.groupBy(*keys, F.col("b").alias("hub")).agg(
+        F.sum("n").alias("size"), F.min("c").alias("first"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("h1"), F.bit_xor(F.xxhash64("c", F.lit(2))).alias("h2")
+    )
+    rated = pairs.select(*keys, "c", F.col("b").alias("hub")).join(sets, [*keys, "hub"])
+    most, least = F.struct("size", "first", "h1", "h2"), F.struct("size", "first", F.bitwise_not("h1").alias("h1"), F.bitwise_not("h2").alias("h2"))
+    best = rated.groupBy(*keys, "c").agg(F.max(most).alias("x"), F.max(least).alias("y"))
+    open_ = (F.col("x.h1") != F.bitwise_not("y.h1")) | (F.col("x.h2") != F.bitwise_not("y.h2"))
+    best = cut(best.select(*keys, "c", "x.*", open_.alias("open")))
+    chosen = best.where("not open").select(*keys, "c", "h1", "h2")
+    if not (left := best.where("open").select(*keys, "c", "size", "first")).isEmpty():
+        among = rated.join(left, [*keys, "c", "size", "first"]).groupBy(*keys, "c", "h1", "h2").agg(F.min("hub").alias("b"))
+        lists = pairs.join(among.select(*keys, "b").distinct(), [*keys, "b"], "left_semi").groupBy(*keys, "b").agg(F.sort_array(F.collect_list("c")).alias("m"))
+        picked = among.join(lists, [*keys, "b"]).groupBy(*keys, "c").agg(F.min_by(F.struct("h1", "h2"), "m").alias("x"))
+        chosen = chosen.union(picked.select(*keys, "c", "x.*"))
+    named = chosen.groupBy(*keys, "h1", "h2").agg(F.min("c").alias("consensus"))
+    named = chosen.join(named, [*keys, "h1", "h2"]).select(*keys, "c", "consensus")
+    found = classes.join(named, [*keys, "c"]).select(*keys, "f", "l", "_lone", "consensus")
+    return ends.join(found, [*keys, "f", "l", "_lone"]).select(*keys, "transcript_id", "consensus")
+
+
+def _class_pairs(classes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``c, n, b`` of classes (and the weight of the first) that are neighbours, each of itself too.
+
+    First exons that overlap share a bin, the first one of their overlap counts: no pair twice, and a deep locus is dealt out.
+    """
     bins = F.explode(F.sequence(F.floor(F.col("f.s") / EXON_BIN), F.floor(F.col("f.e") / EXON_BIN)))
-    binned = ends.withColumn("_bin", bins)
+    binned = classes.withColumn("_bin", bins)
     a, b = binned.alias("a"), binned.alias("b")
     same = F.expr(" and ".join(f"a.{k} = b.{k}" for k in (*keys, "_bin")))
     first = F.col("a._bin") == F.floor(F.greatest("a.f.s", "b.f.s") / EXON_BIN)
     near = overlaps(F.col("a.f.s"), F.col("a.f.e"), F.col("b.f.s"), F.col("b.f.e")) & overlaps(F.col("a.l.s"), F.col("a.l.e"), F.col("b.l.s"), F.col("b.l.e"))
-    pairs = a.join(b, same & first & ((F.col("a.transcript_id") == F.col("b.transcript_id")) | near))
-    ego = pairs.groupBy(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.transcript_id").alias("_a")).agg(F.sort_array(F.collect_set("b.transcript_id")).alias("m"))
-    sets = ego.select(*keys, "m").distinct().withColumn("t", F.explode("m"))
-    best = Window.partitionBy(*keys, "t").orderBy(F.size("m").desc(), F.col("m")[0].desc(), F.col("m").asc())
-    pick = sets.withColumn("_r", F.row_number().over(best)).where("_r = 1")
-    return pick.withColumn("consensus", F.min("t").over(Window.partitionBy(*keys, "m"))).select(*keys, F.col("t").alias("transcript_id"), "consensus")
+    pairs = a.join(b, same & first & ((F.col("a.c") == F.col("b.c")) | near))
+    return pairs.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.c").alias("c"), F.col("a.n").alias("n"), F.col("b.c").alias("b"))
 
 
 def boundaries(g: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -13,7 +13,7 @@ KNOWN = ("chr0", "chr1", "chr2", "chr3")
 
 def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each exon: its transcript's key ``k``, number of exons ``n`` and the exon's place ``i``, and what annotation rows hold."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("k")).agg(F.count("*").alias("c")).where("k % 60 < 57")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("k")).agg(F.count("*").alias("c"))
     floor = lambda n: F.floor(F.col("k") / n)
     t = lines.select(
         "k",
@@ -21,7 +21,7 @@ def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
         (floor(5) % 2).alias("sd"),
         floor(60).alias("locus"),
         (F.col("k") % 3).alias("off"),
-        F.when(F.col("k") % 53 == 0, 14).otherwise(F.least("c", F.lit(5))).cast("int").alias("n"),
+        F.when(F.col("k") % 53 == 0, F.greatest("c", F.lit(14))).otherwise(F.col("c")).cast("int").alias("n"),
     )
     x = t.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
     base = F.col("locus") * 1000 + (F.col("off") + F.col("i")) * 100
@@ -74,8 +74,15 @@ PER_LOCUS, WIDTH = 20, 20_000
 
 
 def shape_rows(name: str) -> list[tuple[int, int, str, int, int]]:
-    """``variant, key in the locus, strand, s, e`` of every exon of a shape."""
-    return [(v, j, strand, s, e) for v, a, b, strand, exons in SHAPES[name] for j in range(a, b + 1) for s, e in exons]
+    """``variant, key in the locus, strand, s, e`` of every exon of a shape. Keys that it says nothing of are alike to those that it does, in turn."""
+    out = []
+    for variant in sorted({v for v, *_ in SHAPES[name]}):
+        models = {j: (strand, exons) for v, a, b, strand, exons in SHAPES[name] if v == variant for j in range(a, b + 1)}
+        said = sorted(models)
+        for j in range(PER_LOCUS):
+            strand, exons = models[j if j in models else said[j % len(said)]]
+            out += [(variant, j, strand, s, e) for s, e in exons]
+    return out
 
 
 def shaped(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,12 +3,12 @@
 KEYS = """
 l as (select l_orderkey k, count(*) c from lineitem group by l_orderkey),
 t0 as (select k, k%5 ch, cast(floor(k/5) as bigint)%2 sd, cast(floor(k/60) as bigint) locus, k%3 off,
-  case when k%53=0 then 14 else least(c,5) end n from l where k%60 < 57),
+  case when k%53=0 then greatest(c,14) else c end n from l),
 px as (select k, n, v.i, concat('chr',cast(ch as varchar)) seqname, case when k%41=0 then '.' when sd=0 then '+' else '-' end strand,
   concat('G',lpad(cast(locus*10+ch*2+sd as varchar),9,'0')) gene_id, concat('T',lpad(cast(k as varchar),9,'0')) transcript_id,
   cast(locus*1000+(off+v.i)*100+1-(case when v.i=1 and k%4=0 then 10 else 0 end) as bigint) s,
   cast(locus*1000+(off+v.i)*100+40+(case when v.i=n and k%7=0 then 15 else 0 end) as bigint) e
-  from t0 join range(1, 15) v(i) on v.i<=n),"""
+  from t0 join range(1, (select max(n) from t0)+1) v(i) on v.i<=n),"""
 MODEL = """
 intr as (select * from (select seqname, strand, gene_id, transcript_id, e+1 s, lead(s) over (partition by transcript_id order by s,e)-1 e from ex) where e is not null),
 tr as (select seqname, strand, gene_id, transcript_id, min(s) s, max(e) e, max(e)-min(s)+1 len, count(*) nx,
