@@ -292,7 +292,7 @@ class Tree:
                 held = blocks.join(worst, "qkey", "left")
                 squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
                 room = F.sqrt(F.greatest(squares + self.top - 2.0 * F.col("floor"), F.lit(0.0))) + SLACK * (F.sqrt(squares) + self.top**0.5)
-                limit = held.groupBy("block").agg(F.max(F.coalesce(room, F.lit(float("inf")))).alias("room"))
+                limit = held.groupBy("block").agg(F.max(F.when(F.col("floor").isNull(), F.lit(float("inf"))).otherwise(room)).alias("room"))
                 todo = plan.where(F.col("turn") > before).where(F.lit(True) if done is None else F.col("turn") <= done).join(limit, "block").where("under <= room")
                 hits = found.unionByName(self._visit(todo, held))
                 found = self.s.save(hits.withColumn("rank", place).where(F.col("rank") <= self.k).drop("rank"), f"found{before}")
