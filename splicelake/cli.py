@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--add", nargs="*", default=(), choices=sorted(ADD))
     p.add_argument("--disable", nargs="*", default=(), choices=sorted(DISABLE))
     p.add_argument("--keep", nargs="*", default=(), choices=sorted(KEEP))
+    p.add_argument("--quantify", action="store_true", help="count the reads of --fastq against the spliced transcripts instead of stopping for another quantifier")
     p.add_argument("--overwrite", action="store_true", help="write over the results of an earlier run; other files stay")
     p.add_argument("--resume", action="store_true", help="go on with an earlier run of the same options: stages whose tables are there aren't repeated")
     p.add_argument("--semantics", default="reference", choices=("reference", "corrected"))

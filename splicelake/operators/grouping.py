@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import bins
 from ..functions.intervals import overlap_ratio, overlaps
 from ..functions.lineage import cut
 
@@ -100,8 +101,8 @@ def _class_pairs(classes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
     First exons that overlap share a bin, the first one of their overlap counts: no pair twice, and a deep locus is dealt out.
     """
-    bins = F.explode(F.sequence(F.floor(F.col("f.s") / EXON_BIN), F.floor(F.col("f.e") / EXON_BIN)))
-    binned = classes.withColumn("_bin", bins)
+    places = F.explode(F.sequence(F.floor(F.col("f.s") / EXON_BIN), F.floor(F.col("f.e") / EXON_BIN)))
+    binned = classes.withColumn("_bin", places)
     a, b = binned.alias("a"), binned.alias("b")
     same = F.expr(" and ".join(f"a.{k} = b.{k}" for k in (*keys, "_bin")))
     first = F.col("a._bin") == F.floor(F.greatest("a.f.s", "b.f.s") / EXON_BIN)
@@ -140,13 +141,12 @@ def cross_strand_groups(t: DataFrame, wanted: DataFrame) -> DataFrame:
 def intronic(g: DataFrame, keys: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
     """``by`` and ``transcript_id`` of mono-exons, in groups of two or more, that overlap no exon of a multi-exonic member.
 
-    Exons meet by bins of coordinates, in the bin where their overlap begins: a deep group is dealt out.
+    An exon has one bin as its home, and a mono-exon asks the bins that it reaches into: a deep group is dealt out, and long exons are no more rows than short ones.
     """
     ids = [*by, "transcript_id"]
     several = g.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
     mono = g.where("n_exons = 1").select(*keys, "transcript_id", F.col("exons")[0]["s"].alias("s"), F.col("exons")[0]["e"].alias("e"))
     exons = g.where("n_exons > 1").select(*keys, F.explode("exons").alias("x")).select(*keys, F.col("x.s").alias("xs"), F.col("x.e").alias("xe")).distinct()
-    bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / EXON_BIN), F.floor(F.col(e) / EXON_BIN)))
-    first = F.col("_bin") == F.floor(F.greatest("s", "xs") / EXON_BIN)
-    hits = mono.withColumn("_bin", bins("s", "e")).join(exons.withColumn("_bin", bins("xs", "xe")), [*keys, "_bin"]).where(first & overlaps(F.col("s"), F.col("e"), F.col("xs"), F.col("xe")))
+    hits = mono.withColumn("_home", F.explode(bins.met(F.col("s"), F.col("e")))).join(exons.withColumn("_home", bins.home(F.col("xs"), F.col("xe"))), [*keys, "_home"])
+    hits = hits.where(overlaps(F.col("s"), F.col("e"), F.col("xs"), F.col("xe")))
     return mono.join(several, list(keys), "left_semi").join(hits.select(*keys, "transcript_id").distinct(), [*keys, "transcript_id"], "left_anti").select(*ids).distinct()

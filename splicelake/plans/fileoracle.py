@@ -3,7 +3,20 @@
 from . import adapter
 from .oracle import BASE, KEYS, LABELS, MODEL, NEW_IDS, PADDED, POINTS, RENAMED, SJ, SQL, STRANDED, STRUCTURAL, _q, _support, antifrag, antisense, chimeric, fragments, intronic, islands
 
-BASES = "ACGTTGCAGC"
+#: The bases of a span of the test genome: digests of names and places, joined and cut.
+def _bases(s: str, e: str) -> str:
+    chunk = "translate(md5(concat(seqname, ':', cast(c as varchar))), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+    return f"substr(array_to_string(list_transform(range(({s}-1)//32, ({e}-1)//32+1), lambda c: {chunk}), ''), cast(({s}-1)%32+1 as bigint), {e}-{s}+1)"
+
+
+def _back(bases: str) -> str:
+    return f"reverse(translate({bases}, 'ACGTacgtNn', 'TGCAtgcaNn'))"
+
+
+def _smaller(bases: str) -> str:
+    return f"least({bases}, {_back(bases)})"
+
+
 _COLUMNS = "seqname, strand, gene_id, transcript_id, k"
 ROWS = (
     KEYS
@@ -37,6 +50,30 @@ _PAIR = "case when {0} then cs else ce-2 end s, case when {0} then cs+2 else ce
 _LEFT, _RIGHT = "x.s s, least(x.e, cs-1) e from ex x join cd using (transcript_id) where x.s < cs", "greatest(x.s, ce+1) s, x.e e from ex x join cd using (transcript_id) where x.e > ce"
 _WANTED = "wn as (select transcript_id from an union all select transcript_id from tr where not exists (select 1 from an))"
 
+FILES = "fi as (select distinct concat(seqname, '/', k%4, '.gtf') file from rw)"
+SEQUENCES = f"""sx as (select transcript_id, strand, s, {_bases("s", "e")} b from ex where seqname <> 'chr4'),
+tx as (select *, length(sequence) n, cast(greatest(length(sequence) - 60 + 1, 1) as double) el, cast(substr(transcript_id, 2) as bigint) k
+  from (select transcript_id, case when any_value(strand)='-' then {_back("string_agg(b, '' order by s)")} else string_agg(b, '' order by s) end sequence from sx group by 1))"""
+READS = (
+    SEQUENCES,
+    "fg as (select k, j, sequence, least(n, 60) f, (k*7+j*13)%(n-least(n, 60)+1) p from tx cross join (select unnest([0, 1, 2, 3]) j) where j <= k%4 and n >= 36)",
+    f"""rd as (select k, j, concat('sample', k%3) sample, concat('sample', k%3, '/lane', (k//3)%4) lane, case when (k+j)%2=1 then b else a end left_read, case when (k+j)%2=1 then a else b end right_read
+  from (select *, substr(sequence, cast(p+1 as bigint), 36) a, {_back("substr(sequence, cast(p+f-35 as bigint), 36)")} b from fg))""",
+)
+#: Members of each read's class by the k-mers themselves, and twelve rounds over classes as lists of members.
+EM = (
+    f"ix as materialized (select distinct transcript_id, {_smaller('substr(sequence, cast(i+1 as bigint), 21)')} kmer from (select transcript_id, sequence, unnest(range(0, n-20)) i from tx))",
+    f"km as (select distinct k, j, {_smaller('substr(x, place+1, 21)')} kmer from (select k, j, unnest([left_read, right_read]) x from rd) cross join (select unnest([0, 10, 15]) place))",
+    "nk as (select k, j, count(*) n from km group by 1, 2)",
+    "mb as (select k, j, transcript_id from km join ix using (kmer) join nk using (k, j) group by k, j, transcript_id, n having count(*) = n)",
+    "cl as materialized (select sample, members, count(*) n from (select sample, list(transcript_id order by transcript_id) members from mb join rd using (k, j) group by sample, k, j) group by 1, 2)",
+    "cm as materialized (select sample, c, m.n, m.transcript_id, el from (select sample, n, c, unnest(members) transcript_id from (select *, row_number() over () c from cl)) m join tx t on m.transcript_id = t.transcript_id)",
+    """em as (select 0 round, sample, transcript_id, cast(1 as double) x from (select distinct sample, transcript_id from cm)
+  union all select round + 1, sample, transcript_id, sum(n * w / whole) from
+    (select round, cm.sample, cm.transcript_id, cm.n, x / el w, sum(x / el) over (partition by cm.sample, c) whole from em join cm on em.sample = cm.sample and em.transcript_id = cm.transcript_id where round < 12)
+  group by 1, 2, 3)""",
+)
+
 FILE_SQL: dict[str, str] = {
     "gtf_rows": _q("select feature, seqname, strand, gene_id, transcript_id, s, e from rw", base=ROWS),
     "gtf_model": _q("select seqname, strand, gene_id, transcript_id, tr.s, tr.e, nx n_exons, coalesce(n, 0) n_cds from tr left join (select transcript_id, n from cd) using (transcript_id)", base=ROWS),
@@ -49,16 +86,23 @@ FILE_SQL: dict[str, str] = {
   union all select transcript_id, 'stop_codon', {_PAIR.format("strand='-'")} from cd where strand in ('+','-')""",
         base=ROWS,
     ),
-    "annotation_manifest": "select * from (values ('a.gtf', 'file1'), ('b.gtf', 'file2')) v(name, File_tag)",
-    "gtf_tagged": _q("select tag file_tag, gene_id || '_' || tag gene_id, transcript_id || '_' || tag transcript_id, count(*) n from (select *, case when seqname < 'chr3' then 'file1' else 'file2' end tag from rw) group by all", base=ROWS),
-    "fastq_manifest": "select * from (values ('a_R1.fastq', 'a_R2.fastq'), ('b_R1.fastq', 'b_R2.fastq')) v(File_pair_1, File_pair_2)",
-    "sj_files": _q("select seqname, strand, s, e, sample || 'SJ.out.tab' sample, motif, n_unique, overhang from sj", SJ),
-    "quant_files": _q("select transcript_id, sample, tpm from q3", "q3 as (select concat('T',lpad(cast(o_orderkey as varchar),9,'0')) transcript_id, concat('sample', f.f) sample, cast(((o_orderkey*7+f.f*13)%40) as double)/10 tpm from orders cross join (values (0),(1),(2)) f(f))"),
-    "fasta_names": "select 'chr' || i seqname from range(4) r(i)",
-    "spliced_fasta": _q(
-        f"""select transcript_id, case when any_value(strand)='-' then reverse(translate(string_agg(b, '' order by s), 'ACGTacgtNn', 'TGCAtgcaNn')) else string_agg(b, '' order by s) end "sequence"
-  from (select *, substr(repeat('{BASES}', 40), (s-1)%10+1, e-s+1) b from ex where seqname <> 'chr4') group by 1"""
+    "annotation_manifest": _q("select file name, concat('file', row_number() over (order by file)) \"File_tag\" from fi", FILES, base=ROWS),
+    "gtf_tagged": _q("select tag file_tag, gene_id || '_' || tag gene_id, transcript_id || '_' || tag transcript_id, count(*) n from rw join (select file, concat('file', row_number() over (order by file)) tag from fi) on file = concat(seqname, '/', k%4, '.gtf') group by all", FILES, base=ROWS),
+    "fastq_manifest": _q("select concat(lane, '_R1.fastq') \"File_pair_1\", concat(lane, '_R2.fastq') \"File_pair_2\" from (select distinct lane from rd)", *READS),
+    "fastq_records": _q(
+        """select concat(lane, '_R', mate, '.fastq') file, row_number() over (partition by lane, mate order by k, j) - 1 record, concat('read_', k, '_', j) name, case mate when 1 then left_read else right_read end "sequence",
+  concat(substr('@+I#', j + 1, 1), repeat('I', 35)) quality, true intact from rd cross join (select unnest([1, 2]) mate)""",
+        *READS,
     ),
+    "quantified": _q(
+        """select sample, transcript_id, cast(n as bigint) length, el effective_length, round(coalesce(x, 0) / el * 1e6 / sum(coalesce(x, 0) / el) over (partition by sample), 4) tpm, round(coalesce(x, 0), 6) num_reads
+  from tx cross join (select distinct sample from cl) left join (select * from em where round = 12) using (sample, transcript_id)""",
+        *READS, *EM,
+    ).replace("with ", "with recursive ", 1),
+    "sj_files": _q("select seqname, strand, s, e, sample || '_' || seqname || 'SJ.out.tab' sample, motif, n_unique, overhang from sj", SJ),
+    "quant_files": _q("select transcript_id, sample, tpm from q3", "q3 as (select concat('T',lpad(cast(o_orderkey as varchar),9,'0')) transcript_id, concat('sample', f.f) sample, cast(((o_orderkey*7+f.f*13)%40) as double)/10 tpm from orders cross join (values (0),(1),(2)) f(f))"),
+    "fasta_names": _q("select transcript_id seqname from tx", SEQUENCES),
+    "spliced_fasta": _q('select transcript_id, sequence "sequence" from tx', SEQUENCES),
     "written_gtf": _q("select feature, transcript_id, gene_id, s, e from rw where strand='+'", base=ROWS),
     "padded_gtf": _q("select 'exon' feature, transcript_id, s, e, '.' score from pe where transcript_id in (select transcript_id from rw where feature='exon') union all select feature, transcript_id, s, e, '.' from rw where feature='CDS'", *PADDED, base=ROWS),
     "renamed_gtf": _q("select feature, new_transcript_id transcript_id, new_gene_id gene_id, rw.s, rw.e from rw join ni using (transcript_id)", *RENAMED, f"ni as ({NEW_IDS})", base=ROWS),

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.intervals import chain, or_exons
 from ..functions.lineage import cut, shared_dir, until_exit
-from ..operators import finish, grouping, location, report, structure, support
-from ..sources import files, model, sinks
+from ..operators import finish, grouping, location, quantify, report, structure, support
+from ..sources import fasta, files, model, reads, sinks
 from . import adapter
 from .config import Config
 from .pipeline import Run
 
-#: Ten bases that the test genome repeats.
-BASES = "ACGTTGCAGC"
+#: Bases of a line of the test genome, those of a read, of a fragment at most, and of a k-mer.
+WIDTH, READ, FRAGMENT, KMER, STRIDE, ROUNDS = 64, 36, 60, 21, 10, 12
 
 
 def folder(spark: SparkSession) -> str:
@@ -25,17 +26,20 @@ def folder(spark: SparkSession) -> str:
     return until_exit(f"{shared_dir(spark)}/files-{uuid.uuid4().hex[:12]}")
 
 
-def put(spark: SparkSession, lines: DataFrame, path: str) -> str:
-    """Lines of text as one file of the given name, which formats that go by the name of a file need. For tables of test size."""
-    part = f"{path}.parts"
-    lines.coalesce(1).write.text(part)
+def put(spark: SparkSession, lines: DataFrame, at: str, *order: str) -> str:
+    """Lines (``file, value``) as files of those names under a folder, which formats that go by the name of a file need. Each is written by a task, in ``order``, and then renamed."""
+    parts = f"{at}/_parts"
+    lines.repartition("file").sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(parts)
     jvm = spark.sparkContext._jvm
-    at, to = jvm.org.apache.hadoop.fs.Path(part), jvm.org.apache.hadoop.fs.Path(path)
-    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = store.globStatus(jvm.org.apache.hadoop.fs.Path(f"{part}/part-*"))
-    store.rename(found[0].getPath(), to)
-    store.delete(at, True)
-    return path
+    path = jvm.org.apache.hadoop.fs.Path
+    store = path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in store.globStatus(path(f"{parts}/file=*/part-*")):
+        name = unquote(found.getPath().getParent().getName().removeprefix("file="))
+        to = path(f"{at}/{name}")
+        store.mkdirs(to.getParent())
+        store.rename(found.getPath(), to)
+    store.delete(path(parts), True)
+    return at
 
 
 def _tsv(*columns) -> F.Column:
@@ -51,9 +55,10 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
     rows = exons.union(cds).union(kind("transcript").where("bare and i = 1"))
     swap = F.expr("k % 13 = 0")
     ids = F.format_string('gene_id "%s"; transcript_id "%s";', "gene_id", "transcript_id")
-    text = rows.select(_tsv("seqname", F.lit("src"), "feature", F.when(swap, F.col("e")).otherwise(F.col("s")), F.when(swap, F.col("s")).otherwise(F.col("e")), F.lit("."), "strand", F.lit("."), ids), "seqname")
-    odd = [("# a comment", ""), ("", ""), ("chr0\tsrc\texon\t1\t2\t.\t+\t.", ""), ('chr0\tsrc\texon\t1\t2\t.\t+\t.\tgene_id "alone";', "")]
-    return text.union(spark.createDataFrame(odd, "value string, seqname string"))
+    file = F.concat("seqname", F.lit("/"), F.col("k") % 4, F.lit(".gtf")).alias("file")
+    text = rows.select(_tsv("seqname", F.lit("src"), "feature", F.when(swap, F.col("e")).otherwise(F.col("s")), F.when(swap, F.col("s")).otherwise(F.col("e")), F.lit("."), "strand", F.lit("."), ids), file)
+    odd = ["# a comment", "", "chr0\tsrc\texon\t1\t2\t.\t+\t.", 'chr0\tsrc\texon\t1\t2\t.\t+\t.\tgene_id "alone";']
+    return text.union(spark.createDataFrame([(x, "chr0/0.gtf") for x in odd], "value string, file string"))
 
 
 def annotation(spark: SparkSession, d: str) -> DataFrame:
@@ -67,16 +72,14 @@ def built(spark: SparkSession, d: str) -> DataFrame:
     return model.build(annotation(spark, d))[0]
 
 
-def two_files(spark: SparkSession, d: str) -> str:
-    at, rows = folder(spark), lines(spark, d)
-    put(spark, rows.where("seqname < 'chr3'").select("value"), f"{at}/a.gtf")
-    put(spark, rows.where("seqname >= 'chr3'").select("value"), f"{at}/sub/b.gtf")
-    put(spark, rows.select("value").limit(5), f"{at}/c_skipped.gtf")
-    return at
+def many_files(spark: SparkSession, d: str) -> str:
+    """The annotation as files of one sequence and one key modulo four each, and one to pass over."""
+    rows = lines(spark, d)
+    return put(spark, rows.union(rows.where("file = 'chr0/0.gtf'").withColumn("file", F.lit("c_skipped.gtf"))), folder(spark))
 
 
 def _tagged(spark: SparkSession, d: str) -> DataFrame:
-    manifest = files.annotation_manifest(spark, two_files(spark, d))
+    manifest = files.annotation_manifest(spark, many_files(spark, d))
     at = f"{folder(spark)}/manifest"
     sinks.write_table(manifest, at, ["File_tag"], ",")
     rows = files.annotations(spark, files.read_manifest(spark, at))
@@ -84,48 +87,87 @@ def _tagged(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _manifest(spark: SparkSession, d: str) -> DataFrame:
-    name = F.regexp_extract("File_path", "([^/]+)$", 1)
-    return files.annotation_manifest(spark, two_files(spark, d)).select(name.alias("name"), "File_tag")
-
-
-def _fastq(spark: SparkSession, d: str) -> DataFrame:
-    at = folder(spark)
-    for name in ("b_R1.fastq", "b_R2.fastq", "a_R1.fastq", "a_R2.fastq"):
-        put(spark, spark.createDataFrame([("@r\nA\n+\nI",)], "value string"), f"{at}/{name}")
-    return files.fastq_manifest(spark, at).select(*[F.regexp_extract(c, "([^/]+)$", 1).alias(c) for c in ("File_pair_1", "File_pair_2")])
+    name = F.regexp_extract("File_path", "([^/]+/[^/]+)$", 1)
+    return files.annotation_manifest(spark, many_files(spark, d)).select(name.alias("name"), "File_tag")
 
 
 def _junctions(spark: SparkSession, d: str) -> DataFrame:
-    at, j = folder(spark), adapter.junctions(spark, d)
+    j = adapter.junctions(spark, d)
     code = F.when(F.col("strand") == "+", 1).when(F.col("strand") == "-", 2).otherwise(0)
-    rows = cut(j.select("sample", _tsv("seqname", "s", "e", code, "motif", F.lit(0), "n_unique", F.lit(0), "overhang")))
-    for k in range(adapter.SAMPLES):
-        put(spark, rows.where(F.col("sample") == f"sample{k}").select("value"), f"{at}/sample{k}SJ.out.tab")
-    put(spark, rows.select("value").limit(9), f"{at}/x_STARpass1/oldSJ.out.tab")
-    return files.junctions(spark, at)
+    rows = j.select(F.concat("sample", F.lit("_"), "seqname", F.lit("SJ.out.tab")).alias("file"), _tsv("seqname", "s", "e", code, "motif", F.lit(0), "n_unique", F.lit(0), "overhang"))
+    early = rows.withColumn("file", F.concat(F.lit("x_STARpass1/"), "file"))
+    return files.junctions(spark, put(spark, rows.union(early), folder(spark)))
 
 
 def _quant(spark: SparkSession, d: str) -> DataFrame:
-    at, q = folder(spark), adapter.quant(spark, d)
-    for k in range(adapter.SAMPLES):
-        rows = q.where(F.col("sample") == f"sample{k}").select(_tsv("transcript_id", F.lit(100), F.lit(90.5), "tpm", F.lit(7.0)))
-        head = spark.createDataFrame([("Name\tLength\tEffectiveLength\tTPM\tNumReads",)], "value string")
-        put(spark, head.union(rows), f"{at}/sample{k}/quant.sf")
-    return files.quant(spark, at).select("transcript_id", F.regexp_extract("sample", "([^/]+)/quant.sf$", 1).alias("sample"), "tpm")
+    q = adapter.quant(spark, d).withColumn("file", F.concat("sample", F.lit("_"), F.pmod(F.hash("transcript_id"), F.lit(8)), F.lit("/quant.sf")))
+    rows = q.select("file", F.lit(1).alias("i"), _tsv("transcript_id", F.lit(100), F.lit(90.5), "tpm", F.lit(7.0)))
+    head = q.select("file").distinct().select("file", F.lit(0).alias("i"), F.lit("Name\tLength\tEffectiveLength\tTPM\tNumReads").alias("value"))
+    found = files.quant(spark, put(spark, head.union(rows), folder(spark), "i"))
+    return found.select("transcript_id", F.regexp_extract("sample", "([^/_]+)_[0-9]+/quant.sf$", 1).alias("sample"), "tpm")
 
 
 def genome(spark: SparkSession, d: str) -> str:
-    """A FASTA file of the known sequences, in lines of sixty bases."""
-    top = adapter.exons(spark, d).agg(F.max("e")).first()[0] or 0
-    bases = F.regexp_replace(F.repeat(F.lit(BASES), F.lit(top // len(BASES) + 2)), "(.{60})", "$1\n")
-    at = f"{folder(spark)}/genome.fa"
-    return put(spark, adapter.genome(spark).select(F.concat(F.lit(">"), "seqname", F.lit(" made\n"), bases).alias("value")), at)
+    """A folder of FASTA files, one for each known sequence that has exons: bases from digests of names and places."""
+    tops = adapter.exons(spark, d).groupBy("seqname").agg(F.max("e").alias("e")).where(F.col("seqname").isin(*adapter.KNOWN))
+    chunk = lambda k: F.translate(F.md5(F.concat("seqname", F.lit(":"), k.cast("string")).cast("binary")), "0123456789abcdef", "ACGT" * 4)
+    rows = tops.select("seqname", F.explode(F.sequence(F.lit(-1).cast("long"), F.floor(F.col("e") / WIDTH))).alias("i"))
+    value = F.when(F.col("i") < 0, F.concat(F.lit(">"), "seqname", F.lit(" made"))).otherwise(F.concat(chunk(F.col("i") * 2), chunk(F.col("i") * 2 + 1)))
+    return put(spark, rows.select(F.concat("seqname", F.lit(".fa")).alias("file"), "i", value.alias("value")), folder(spark), "i")
 
 
-def _spliced(spark: SparkSession, d: str) -> DataFrame:
+def transcriptome(spark: SparkSession, d: str) -> DataFrame:
+    """``transcript_id, sequence`` of the adapter's transcripts on the genome's files."""
+    return sinks.spliced(adapter.transcripts(spark, d), fasta.pieces(spark, genome(spark, d)))
+
+
+def _spliced(spark: SparkSession, d: str) -> str:
     at = f"{folder(spark)}/spliced"
-    sinks.write_fasta(sinks.spliced(adapter.transcripts(spark, d), files.fasta(spark, genome(spark, d))), at)
-    return files.fasta(spark, at).select(F.col("seqname").alias("transcript_id"), "sequence")
+    sinks.write_fasta(transcriptome(spark, d), at)
+    return at
+
+
+def _sequences(spark: SparkSession, d: str) -> DataFrame:
+    return files.fasta(spark, _spliced(spark, d)).select(F.col("seqname").alias("transcript_id"), "sequence")
+
+
+def fragments_of(sequences: DataFrame) -> DataFrame:
+    """Pairs of reads cut from transcripts, by their numbers: one to four of each, from either strand, in three samples of four lanes."""
+    t = sequences.select("transcript_id", "sequence", F.substring("transcript_id", 2, 9).cast("long").alias("k"), F.length("sequence").alias("n")).where(F.col("n") >= READ)
+    t = t.withColumn("j", F.explode(F.sequence(F.lit(0), (F.col("k") % 4).cast("int")))).withColumn("f", F.least("n", F.lit(FRAGMENT)))
+    t = t.withColumn("p", ((F.col("k") * 7 + F.col("j") * 13) % (F.col("n") - F.col("f") + 1)).cast("int"))
+    left = F.substring("sequence", F.col("p") + 1, F.lit(READ))
+    right = quantify.complement(F.substring("sequence", F.col("p") + F.col("f") - READ + 1, F.lit(READ)))
+    turned = (F.col("k") + F.col("j")) % 2 == 1
+    lane = F.concat(F.lit("sample"), F.col("k") % 3, F.lit("/lane"), F.floor(F.col("k") / 3) % 4)
+    return t.select("k", "j", lane.alias("lane"), F.when(turned, right).otherwise(left).alias("first"), F.when(turned, left).otherwise(right).alias("second"))
+
+
+def read_files(spark: SparkSession, d: str) -> str:
+    """FASTQ files of pairs. Quality lines may begin as headers or marks do."""
+    pairs = fragments_of(cut(transcriptome(spark, d)))
+    mates = F.explode(F.array(*[F.struct(F.lit(m).alias("mate"), F.col(c).alias("bases")) for m, c in ((1, "first"), (2, "second"))]))
+    rows = pairs.select("k", "j", "lane", mates.alias("x")).select("k", "j", "lane", "x.*")
+    quality = F.concat(F.substring(F.lit("@+I#"), F.col("j") + 1, F.lit(1)), F.lit("I" * (READ - 1)))
+    value = F.concat(F.format_string("@read_%d_%d/%d of it", "k", "j", "mate"), F.lit("\n"), "bases", F.lit("\n+\n"), quality)
+    return put(spark, rows.select(F.format_string("%s_R%d.fastq", "lane", "mate").alias("file"), "k", "j", value.alias("value")), folder(spark), "k", "j")
+
+
+_LANE = "([^/]+/[^/]+)$"
+
+
+def _fastq(spark: SparkSession, d: str) -> DataFrame:
+    return files.fastq_manifest(spark, read_files(spark, d)).select(*[F.regexp_extract(c, _LANE, 1).alias(c) for c in ("File_pair_1", "File_pair_2")])
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    return reads.records(spark, read_files(spark, d), "*.fastq").select(F.regexp_extract("path", _LANE, 1).alias("file"), "record", "name", "sequence", "quality", "intact")
+
+
+def _quantified(spark: SparkSession, d: str) -> DataFrame:
+    manifest = files.fastq_manifest(spark, read_files(spark, d)).withColumn("sample", F.regexp_extract("File_pair_1", "([^/]+)/[^/]+$", 1))
+    found = quantify.quantify(cut(transcriptome(spark, d)), cut(reads.pairs(spark, manifest)), KMER, STRIDE, FRAGMENT, ROUNDS, 0.0)
+    return found.select("sample", "transcript_id", "length", "effective_length", F.round("tpm", 4).alias("tpm"), F.round("num_reads", 6).alias("num_reads"))
 
 
 def _utr(spark: SparkSession, d: str) -> DataFrame:
@@ -204,7 +246,7 @@ def _other_numbers(spark: SparkSession, d: str) -> DataFrame:
 def _run(spark: SparkSession, d: str) -> DataFrame:
     """The first numbers of a whole run over the annotation as a reference, as its table of metrics has them."""
     at = folder(spark)
-    put(spark, lines(spark, d).select("value"), f"{at}/in/one.gtf")
+    put(spark, lines(spark, d), f"{at}/in")
     c = Config(f"{at}/out", "run", references=f"{at}/in")
     Run(spark, c)()
     rows = spark.read.schema("Category string, File string, n long").option("header", True).option("sep", "\t").csv(c.folder("report", "pipeline_numbers"))
@@ -226,8 +268,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fastq_manifest": _fastq,
     "sj_files": lambda spark, d: _junctions(spark, d).select("seqname", "strand", "s", "e", "sample", F.col("motif").cast("long").alias("motif"), "n_unique", F.col("overhang").cast("long").alias("overhang")),
     "quant_files": _quant,
-    "fasta_names": lambda spark, d: files.fasta_names(spark, genome(spark, d)),
-    "spliced_fasta": _spliced,
+    "fasta_names": lambda spark, d: files.fasta_names(spark, _spliced(spark, d)),
+    "spliced_fasta": _sequences,
+    "fastq_records": _records,
+    "quantified": _quantified,
     "written_gtf": _written,
     "padded_gtf": _padded,
     "renamed_gtf": _renamed,

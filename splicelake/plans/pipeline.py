@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut, exists
-from ..operators import finish, location, redundancy, report, structure, support
-from ..sources import files, model, sinks
+from ..operators import finish, location, quantify, redundancy, report, structure, support
+from ..sources import fasta, files, model, reads, sinks
 from .config import Config
 
 
@@ -90,15 +90,28 @@ class Run:
         seen = self.kept("junctions", lambda: support.junction_support(files.junctions(self.spark, c.sj_data), *c.sj_reads))
         sinks.rejected_junctions(seen, c.folder("removed", "junctions"))
         v = self.stage("assemblies_junctions", rows, u, lambda: support.by_junctions(u, seen.where("supported")), ("true",), "supported")
-        if not c.quant:
+        if not c.quant and not c.quantify:
             self.to_quantify(v)
-        w = self.stage("assemblies_abundance", rows, v, lambda: support.by_abundance(v, files.quant(self.spark, c.quant), *c.tpm), ("abundant",))
+        counts = self.counted(v) if c.quantify else files.quant(self.spark, c.quant)
+        w = self.stage("assemblies_abundance", rows, v, lambda: support.by_abundance(v, counts, *c.tpm), ("abundant",))
         return rows, w
 
+    def counted(self, t: DataFrame) -> DataFrame:
+        """Abundances of transcripts from the reads of the run, a sample for each pair of files, written as tables of the usual kind too."""
+        c = self.c
+
+        def count() -> DataFrame:
+            manifest = files.fastq_manifest(self.spark, c.fastq).withColumn("sample", reads.sample_of(F.col("File_pair_1")))
+            return quantify.quantify(cut(sinks.spliced(t, fasta.pieces(self.spark, c.genome))), cut(reads.pairs(self.spark, manifest)))
+
+        found = self.kept("abundances", count)
+        sinks.write_quant(found, c.folder("quantify", "abundances"))
+        return found
+
     def to_quantify(self, t: DataFrame) -> None:
         """Write what a quantifier needs, the spliced transcripts and the pairs of read files, and stop."""
         at = self.c.folder("quantify")
-        sinks.write_fasta(sinks.spliced(t, files.fasta(self.spark, self.c.genome)), f"{at}/transcripts")
+        sinks.write_fasta(sinks.spliced(t, fasta.pieces(self.spark, self.c.genome)), f"{at}/transcripts")
         sinks.write_table(files.fastq_manifest(self.spark, self.c.fastq), f"{at}/reads", ["File_pair_1"], ",")
         raise Pending(f"quantify the reads listed in {at}/reads against {at}/transcripts, then run again with --quant (the folder of .sf tables) and --resume")
 
@@ -130,7 +143,7 @@ class Run:
         )
         sinks.write_table(finish.mapping(final), c.folder("mapping"), ["GENEID", "TXNAME"], ",")
         if c.genome:
-            sinks.write_fasta(sinks.spliced(final, files.fasta(self.spark, c.genome)), c.folder("fasta"))
+            sinks.write_fasta(sinks.spliced(final, fasta.pieces(self.spark, c.genome)), c.folder("fasta"))
         renamed = files.gtf(self.spark, c.folder("final"))
         sinks.write_modified_gtf(renamed, finish.padded(final), c.folder("padded"))
         reports(final, c.folder("report"))

@@ -196,3 +196,44 @@ def test_labels_of_no_transcripts(spark):
     assert redundancy.redundancy(t).count() == structure.fragments(t).count() == structure.chimeric(t).count() == 0
     assert finish.reannotate(t, "P").count() == 0 and structure.structural(t).count() == 0
     assert t.select(F.size("introns")).count() == 0
+
+
+def test_consensus_where_weights_and_first_ids_tie(spark):
+    """Sets of equal size and equal first id are told apart by their lists of ids, whose classes are made of several transcripts."""
+    loci = {}
+    for k, i in enumerate(["a", "q", "b", "r", "c", "s", "d", "t", "e", "u"]):
+        first = [(100, 200), (100, 200), (150, 300), (150, 300), (290, 400), (290, 400), (190, 295), (190, 295), (100, 400), (250, 251)][k]
+        loci[i] = ("c1", "+", [first, (1000, 1100)])
+    for k in range(12):  # single positions, alike: neighbours of what covers them, not of each other
+        loci[f"z{k}"] = ("c1", "+", [(200, 200), (1000 + k % 2, 1000 + k % 2)])
+    t = frame(spark, loci)
+    want = sorted(sorted(p) for x in strands(loci).values() for g in plain.islands(x) for p in plain.consensus(x, g))
+    assert groups(structure.with_consensus(t).collect(), *structure.LOCUS, "consensus") == want
+
+
+def test_alike_transcripts_are_one_class(spark):
+    """Forty thousand transcripts of one locus, in classes of equal ends: rows in proportion, no pairs of transcripts."""
+    ids = spark.range(40_000).select(F.lit("c").alias("seqname"), F.lit("+").alias("strand"), F.lit(1).cast("long").alias("locus"), F.format_string("t%05d", "id").alias("transcript_id"), (F.col("id") % 5 * 10).alias("o"))
+    exon = lambda s, e: F.struct((F.lit(s) + F.col("o")).alias("s"), (F.lit(e) + F.col("o")).alias("e"))
+    g = ids.withColumn("exons", F.array(exon(100, 125), exon(900, 1000)))
+    got = {r["o"]: (r["n"], r["c"]) for r in grouping.consensus_groups(g).join(ids, ["seqname", "strand", "locus", "transcript_id"]).groupBy("o").agg(F.count("*").alias("n"), F.collect_set("consensus").alias("c")).collect()}
+    # first exons of offsets up to two steps apart overlap: the middle one's set has all
+    assert got == {o: (8000, ["t00000"]) for o in (0, 10, 20, 30, 40)}
+
+
+def test_nested_bins(spark):
+    from splicelake.functions import bins
+
+    rng = random.Random(3)
+    spans = []
+    for k in range(150):
+        s = rng.randrange(1, 1 << rng.choice([8, 16, 40]))
+        spans.append((k, s, s + rng.choice([0, 3, 500, 1 << 15, 1 << 22])))
+    df = spark.createDataFrame(spans, "k long, s long, e long")
+    small = df.where("e - s < 1000")
+    for width in (1, 7, bins.WIDTH):
+        homes = df.select(F.col("k").alias("o"), "s", "e", bins.home(F.col("s"), F.col("e"), width).alias("home"))
+        asked = small.select("k", F.col("s").alias("a"), F.col("e").alias("b"), F.explode(bins.met(F.col("s"), F.col("e"), width)).alias("home"))
+        got = [(r["k"], r["o"]) for r in asked.join(homes, "home").where("a <= e and s <= b").collect()]
+        want = {(k, o) for k, a, b in spans if b - a < 1000 for o, s, e in spans if a <= e and s <= b}
+        assert len(got) == len(want) and set(got) == want
