@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, fresh
 from .textarray import ALNUM, LOWER, U, running, runs, slices, span_hash, tidy
 
 WINDOW, STRIDE = 64, 32
@@ -418,9 +418,13 @@ def _confirmed(b: Block, window, q, ids, row_of_slice, own, begin, end, first, h
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item was found, with all their columns; those without doc_id stay.
+    """The documents whose text holds no benchmark item, with all their columns.
 
-    Null and empty texts stay, repeated rows stay or go together; tables are as in ``leaks``.
+    Rows are judged by their text, whatever their ids: rows of a null doc_id go as others do, and of rows that share
+    an id only those go whose own text leaks. Equal texts stay or go together; null and empty texts stay. Texts of any length,
+    ties and empty tables are as in ``leaks``.
     """
-    found = leaks(spark, docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    by_text = F.md5(F.col("text").cast("binary"))
+    (name,) = fresh(docs, "leaking")
+    found = leaks(spark, docs.select(by_text.alias("doc_id"), "text").where("text is not null"), benchmark).select(F.col("doc_id").cast("string").alias(name)).distinct()
+    return docs.join(found, by_text == F.col(name), "left_anti")

@@ -191,7 +191,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``.
 
     Learned from at most about ``labelled.FIT_ROWS`` documents labelled 1 and as many
-    documents of any kind, both outside the held-out fold. Null and empty texts are
+    documents of any kind, both outside the held-out fold; rows of equal id and text are one document of these. Null and empty texts are
     scored by their statistics, zeros; texts of any length by statistics of the whole.
     Without positives every score is below, without other documents above one half.
     Of a document labelled twice one label counts. Repeated rows give equal rows; a null
@@ -200,8 +200,9 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     learn, s = ~held_out(F.col("doc_id")), Scratch(docs.sparkSession, "quality")
     good = labelled.sample(docs, labels.where("quality = 1"), "quality", learn, s)
-    n = docs.count()
-    thin = docs.where(learn & (labelled.share(F.col("doc_id"), 29) < labelled.FIT_ROWS / max(n, 1)))
+    h = F.xxhash64("doc_id", "text")
+    n = docs.where(learn).agg(F.approx_count_distinct(h, 0.02)).first()[0]  # equal rows count once: none of them alone may fill the sample
+    thin = docs.where(learn & (labelled.share(h, salt=29) < labelled.FIT_ROWS / max(n, 1))).select("doc_id", "text").groupBy(h.alias("h")).agg(F.first("text").alias("text"))
     # in one order, so that the fit is the same however the rows are dealt
     p, u = (np.array(sorted(measured(x, ()).toPandas().x.map(tuple)), float).reshape(-1, len(NAMES)) for x in (good, thin))
     model = fit(p, u)

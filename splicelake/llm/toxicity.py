@@ -25,8 +25,8 @@ from .textarray import LETTER, LOWER, U, mix64, running, runs, slices, span_hash
 
 BITS = 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
-#: Features kept at most, and how a kept one must stand out: documents, ratio of rates, log-likelihood ratio.
-KEPT, LEAST_DOCS, LEAST_RATIO, LEAST_G2 = 6000, 3, 4.0, 12.0
+#: How a feature that is kept must stand out: documents, ratio of rates, log-likelihood ratio.
+LEAST_DOCS, LEAST_RATIO, LEAST_G2 = 3, 4.0, 12.0
 #: Weight of the squared score change between a text and its counterfactual.
 PAIRING = 5.0
 
@@ -114,7 +114,7 @@ def fit(rows: DataFrame, pairing: float = PAIRING) -> Model:
     g2 = 2 * (n1 * np.log(np.maximum(n1, 1e-9) / e1) + np.where(n0 > 0, n0 * np.log(np.maximum(n0, 1e-9) / e0), 0))
     good = (n1 / t1 >= LEAST_RATIO * (n0 + 0.5) / t0) & (g2 >= LEAST_G2)
     order = np.lexsort((f.feature.to_numpy(), -g2))
-    chosen = f.feature.to_numpy()[order[good[order]]][:KEPT]
+    chosen = f.feature.to_numpy()[order[good[order]]]
     place = np.full(1 << BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
 

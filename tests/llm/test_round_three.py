@@ -10,7 +10,10 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from splicelake.llm import filteraudit, fillmiddle, metrictree
+from test_operators import docs as sourced
+from test_operators import prose
+
+from splicelake.llm import decontamination, filteraudit, fillmiddle, labelled, metrictree
 from splicelake.llm.scratch import Scratch
 
 CLASHES = "qkey block page node cell rank score n form output sha made part twin A B C D E docs good toxic subset step first dealt words".split()
@@ -196,3 +199,26 @@ def test_filter_audit(spark):
     assert {(r["part"], r["filter_order"], r["step"]): [r[c] for c in names] for r in got} == want and len(got) == len(want) == 600 * 4
     assert filteraudit.audit(docs(spark, rows).where("false"), frame, Scratch(spark, "t")).count() == 0
     assert filteraudit.audit(docs(spark, rows), frame.where("false"), Scratch(spark, "t")).where("good_lost + toxic_lost > 0").count() == 0
+
+
+def test_samples_are_bounded_by_rows(spark):
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 0)], "doc_id long, toxic int")
+    one = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    same = spark.range(20_000).select(F.lit(8).cast("long").alias("doc_id"), F.lit("one text").alias("text"))
+    every = F.col("doc_id").isNotNull()
+    n = labelled.sample(one.union(same), labels, "toxic", every, Scratch(spark, "t"), rows=100).count()
+    assert 20 < n < 400
+    got = labelled.sample(same.union(one.limit(50)), labels, "toxic", every, Scratch(spark, "t"), rows=100).collect()
+    assert len(got) == 51 and sum(r["doc_id"] == 8 for r in got) == 1
+
+
+def test_leaks_go_by_text_whatever_the_ids(spark):
+    rng = random.Random(31)
+    item = "what is the longest river that runs through seven lands of the north and ends in a salt lake answer: the grey river"
+    leak, fine = f"{prose(rng, 30)} {item} {prose(rng, 20)}", prose(rng, 60)
+    rows = [(None, leak, "s"), (None, fine, "s"), (1, leak, "s"), (1, fine, "s"), (2, fine, "s"), (2, None, "s"), (3, leak, "s"), (3, leak, "s"), (None, None, "s")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontamination.without_leaks(spark, sourced(spark, rows), bench).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(str((i, t)) for i, t, _ in rows if t != leak)
+    none = bench.where("false")
+    assert decontamination.without_leaks(spark, sourced(spark, rows), none).count() == len(rows)
