@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go; rows without a doc_id stay."""
+    """Documents whose text contains a benchmark item go, whatever their ids: rows without a doc_id too, and of rows that share one only those with such a text."""
     return decontamination.without_leaks(spark, docs, _table(spark, sf_dir, "benchmark"))
 
 
