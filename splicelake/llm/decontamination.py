@@ -424,7 +424,7 @@ def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     an id only those go whose own text leaks. Equal texts stay or go together; null and empty texts stay. Texts of any length,
     ties and empty tables are as in ``leaks``.
     """
-    by_text = F.md5(F.col("text").cast("binary"))
+    by_text = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
     (name,) = fresh(docs, "leaking")
-    found = leaks(spark, docs.select(by_text.alias("doc_id"), "text").where("text is not null"), benchmark).select(F.col("doc_id").cast("string").alias(name)).distinct()
+    found = leaks(spark, docs.where("text is not null").select(by_text.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(name)).distinct()
     return docs.join(found, by_text == F.col(name), "left_anti")
