@@ -1,7 +1,7 @@
 """WARC archives: written by Spark's text writer, read back by boundary-chain verification.
 
-The text reader cuts files at every ``WARC/1.1`` line, also inside payloads and
-across splits. Each piece gives a candidate record and, from its Content-Length,
+The text reader cuts files at every ``WARC/1.``, also inside payloads and
+across splits, in files of any name, gzip members too. Each piece gives a candidate record and, from its Content-Length,
 the offset of its successor. Only records that the chain from the start of the
 file reaches are records; a line inside a payload isn't reached. Runs of
 candidates that follow each other are first put together, then pointer jumping
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 from .textarray import U, bloom_of
 
-MAGIC = "WARC/1.1\r\n"
+#: What versions 1.0 and 1.1 begin with, and what follows it.
+MAGIC, VERSION = "WARC/1.", r"^[01]\r\n"
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 FILE_RECORDS = 20_000
@@ -106,7 +107,7 @@ def _parsed(value: Column) -> dict[str, Column]:
 
 
 def _payload(value: Column, head_bytes: Column, block_bytes: Column) -> Column:
-    """Bytes after the HTTP header of a record's block; ``value`` begins after the magic line."""
+    """Bytes after the HTTP header of a record's block; ``value`` begins after the magic, with the version."""
     block = F.substring(value.cast("binary"), head_bytes + 1, block_bytes.cast("int"))
     http = F.octet_length(F.substring_index(block.cast("string"), END, 1)) + 4
     return F.substring(block, http + 1, F.octet_length(block))
@@ -123,10 +124,13 @@ def _placed(pieces: DataFrame) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str, s: Scratch) -> DataFrame:
-    """The records of archives: ``file, start, type, record_id, refers_to, url, digest, payload_bytes, sha`` (hexadecimal, of the bytes read)."""
+    """The records of archives: ``file, start, type, record_id, refers_to, url, digest, payload_bytes, sha`` (hexadecimal, of the bytes read).
+
+    Versions 1.0 and 1.1, whoever wrote them, of any file name; ``.gz`` files are read by their uncompressed offsets, a file
+    a task. A file that doesn't begin with a record of these versions is an error.
+    """
     raw = (
         spark.read.option("lineSep", MAGIC)
-        .option("pathGlobFilter", "*.txt")
         .text(path)
         .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     )
@@ -139,7 +143,7 @@ def read(spark: SparkSession, path: str, s: Scratch) -> DataFrame:
         F.octet_length("value").cast("long").alias("size"),
         "head_bytes",
         "block_bytes",
-        F.col("value").contains(END).alias("headed"),
+        (F.col("value").rlike(VERSION) & F.col("value").contains(END)).alias("headed"),
         _get(F.col("head"), "WARC-Type").alias("type"),
         _get(F.col("head"), "WARC-Record-ID").alias("record_id"),
         _get(F.col("head"), "WARC-Refers-To").alias("refers_to"),
@@ -150,6 +154,10 @@ def read(spark: SparkSession, path: str, s: Scratch) -> DataFrame:
     )
     pieces = s.save(pieces, "pieces")
     by_file = Window.partitionBy("file").orderBy("start")
+    opened = _placed(pieces).where("start = 0 and headed and block_bytes is not null").select("file").distinct()
+    other = pieces.select("file").distinct().join(opened, "file", "left_anti").first()
+    if other is not None:
+        raise ValueError(f"{other['file']} doesn't begin with a WARC record of version 1.0 or 1.1")
     candidates = _placed(pieces).where("start >= 0 and headed and block_bytes is not null")
     candidates = candidates.withColumn("next", F.col("start") + len(MAGIC) + F.col("head_bytes") + F.col("block_bytes") + len(END)).drop("headed", "block", "at")
     candidates = s.save(candidates, "candidates")

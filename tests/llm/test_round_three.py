@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from test_operators import docs as sourced
 from test_operators import prose
 
-from splicelake.llm import decontamination, filteraudit, fillmiddle, labelled, metrictree
+from splicelake.llm import decontamination, filteraudit, fillmiddle, labelled, metrictree, warc
 from splicelake.llm.scratch import Scratch
 
 CLASHES = "qkey block page node cell rank score n form output sha made part twin A B C D E docs good toxic subset step first dealt words".split()
@@ -222,3 +222,39 @@ def test_leaks_go_by_text_whatever_the_ids(spark):
     assert sorted(map(str, map(tuple, kept))) == sorted(str((i, t)) for i, t, _ in rows if t != leak)
     none = bench.where("false")
     assert decontamination.without_leaks(spark, sourced(spark, rows), none).count() == len(rows)
+
+
+# ---- archives of other writers
+
+
+def record(version, kind, payload, http=True, extra=""):
+    block = (b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n" if http else b"") + payload
+    head = f"WARC/{version}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{len(payload)}>\r\n{extra}Content-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("split", ["128m", "300"])
+def test_archives_that_others_wrote(spark, tmp_path, split):
+    import gzip
+
+    inner = record("1.0", "response", b"not a record")
+    payloads = [b"one", b"", inner + b" WARC/1. and more", "é".encode() * 300, inner * 3]
+    plain = b"".join(record("1.0", "response", p, extra="Content-Type: application/http\r\n") for p in payloads)
+    newer = b"".join(record("1.1", "response", p) for p in payloads[::-1])
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "CRAWL-0001.warc").write_bytes(plain)
+    (tmp_path / "a" / "CRAWL-0002.warc.gz").write_bytes(b"".join(gzip.compress(record("1.0", "response", p)) for p in payloads))
+    (tmp_path / "a" / "part-1.txt").write_bytes(newer)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = warc.read(spark, str(tmp_path / "a"), Scratch(spark, "w")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    sha = lambda p: hashlib.sha1(p).hexdigest()
+    for name in ("CRAWL-0001.warc", "CRAWL-0002.warc.gz", "part-1.txt"):
+        assert sorted(r["sha"] for r in got if r["file"].endswith(name)) == sorted(map(sha, payloads)), name
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "x.warc").write_bytes(record("2.0", "response", b"one"))
+    with pytest.raises(ValueError, match="doesn't begin with a WARC record"):
+        warc.read(spark, str(tmp_path / "b"), Scratch(spark, "w"))

@@ -35,7 +35,8 @@ def documents(duck):
 
 
 def rows(df):
-    df = df[sorted(df.columns)]
+    # whole numbers with nulls come as floats from one engine, as Int64 from the other
+    df = df[sorted(df.columns)].astype({c: "float64" for c in df if str(df[c].dtype) == "Int64"})
     return sorted(map(tuple, df.astype(object).where(df.notna(), None).astype(str).values.tolist())), list(df.columns)
 
 
