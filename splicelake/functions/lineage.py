@@ -54,7 +54,23 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    """The rows, written to the shared folder in buckets of a key and read as a table that knows them: joins by the key leave its rows where they are."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex[:12]}"
+    df.repartition(n, key).write.bucketBy(n, key).option("path", until_exit(f"{shared_dir(spark)}/{name}")).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, in whatever store it is."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern finds, in whatever store they are."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(x.getPath().toString() for x in found or ())

@@ -73,9 +73,8 @@ def consensus_groups(g: DataFrame, keys: tuple[str, ...] = (*STRAND_KEY, "locus"
     ends = g.select(*keys, "transcript_id", F.col("exons")[0].alias("f"), F.element_at("exons", -1).alias("l"))
     # a single position doesn't overlap an equal one: such a transcript is a class by itself
     ends = ends.withColumn("_lone", F.when(one("f") | one("l"), F.col("transcript_id")).otherwise(F.lit("")))
-    classes = cut(ends.groupBy(*keys, "f", "l", "_lone").agg(F.min("transcript_id").alias("c"), F.count("*").alias("n")))
-    pairs = cut(_class_pairs(classes, keys))
-
+    classes = ends.groupBy(*keys, "f", "l", "_lone").agg(F.min("transcript_id").alias("c"), F.count("*").alias("n"))
+    pairs = _class_pairs(classes, keys)
     sets = pairs.groupBy(*keys, F.col("b").alias("hub")).agg(
         F.sum("n").alias("size"), F.min("c").alias("first"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("h1"), F.bit_xor(F.xxhash64("c", F.lit(2))).alias("h2")
     )

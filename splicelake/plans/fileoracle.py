@@ -50,6 +50,22 @@ _PAIR = "case when {0} then cs else ce-2 end s, case when {0} then cs+2 else ce
 _LEFT, _RIGHT = "x.s s, least(x.e, cs-1) e from ex x join cd using (transcript_id) where x.s < cs", "greatest(x.s, ce+1) s, x.e e from ex x join cd using (transcript_id) where x.e > ce"
 _WANTED = "wn as (select transcript_id from an union all select transcript_id from tr where not exists (select 1 from an))"
 
+LOCATION = (STRANDED, antisense("an", "st"), _WANTED, antifrag("af", "wn", "0.5"))
+LOCATION_LABELS = "select transcript_id, case when strand not in ('+','-') then 'unstranded' else coalesce((select min(label) from af where af.transcript_id=tr.transcript_id), 'accepted') end label from tr"
+
+
+def run_metrics() -> str:
+    """Labels of the three stages of a run over references, each over what the one before accepted. Genes end at their files."""
+    tagged = "select seqname, strand, concat(gene_id, '_', k%4) gene_id, transcript_id, s, e from rw where feature='exon' or (feature='CDS' and k%37=0)"
+    whole = _q("select * from e0", f"e0 as ({tagged})", base=ROWS)
+    after = lambda *stages: f"ex as (select * from ({whole}) where true" + "".join(f" and transcript_id in (select transcript_id from {x} where label='accepted')" for x in stages) + ")," + MODEL
+    first = SQL["redundancy_labels"].replace(BASE.strip().strip(","), after().strip())
+    stages = {"merged_redundancy": first, "merged_location": _q(LOCATION_LABELS, *LOCATION, base=after("r1")), "merged_structure": _q(LABELS, *STRUCTURAL, base=after("r1", "r2"))}
+    ctes = ", ".join(f"r{k} as materialized ({sql})" for k, sql in enumerate(stages.values(), 1))
+    rows = " union all ".join(f"select '{name}_' || label as \"File\", label, count(*) n from r{k} group by 1, 2" for k, name in enumerate(stages, 1))
+    return f"with {ctes} select case when label='accepted' then 'Accepted' else 'Removed' end \"Category\", \"File\", n from ({rows})"
+
+
 FILES = "fi as (select distinct concat(seqname, '/', k%4, '.gtf') file from rw)"
 SEQUENCES = f"""sx as (select transcript_id, strand, s, {_bases("s", "e")} b from ex where seqname <> 'chr4'),
 tx as (select *, length(sequence) n, cast(greatest(length(sequence) - 60 + 1, 1) as double) el, cast(substr(transcript_id, 2) as bigint) k
@@ -120,16 +136,13 @@ FILE_SQL: dict[str, str] = {
   count(distinct transcript_id) transcripts, coalesce(round(cast(100.0*count(distinct transcript_id) as double)/nullif((select count(*) from tr), 0), 1), 0.0) transcripts_pct
   from (select unnest(['unstranded', 'intronic', 'monoexonic_redundant', 'monoexonic_antisense']) category) left join oc using (category) group by 1"""
     ).removeprefix("with "),
-    "run_metrics": "select case when label='accepted' then 'Accepted' else 'Removed' end \"Category\", 'merged_redundancy_' || label as \"File\", count(*) n from ("
-    + SQL["redundancy_labels"].replace(BASE.strip().strip(","), ROWS.strip().strip(","))
-    + ") group by label",
+    "run_metrics": run_metrics(),
+    "kept_up_winners": "select transcript_id from (" + SQL["redundancy_labels"] + ") where label in ('accepted', 'subset')",
+    "sj_counts": "select sj, concat_ws(',', sample0, sample1, sample2) reads from (" + SQL["sj_matrix"] + ")",
     "deep_fragments": _q("select transcript_id, label from f", fragments("f", "tr"), base=shaped("deep")),
     "deep_structural": _q(LABELS, *STRUCTURAL, base=shaped("deep")),
     "deep_chimeric": _q("select transcript_id, label from ca", chimeric("ca", "tr"), base=shaped("deep")),
     "deep_intronic": _q("select transcript_id from i", islands("og", "tr"), intronic("i", "og"), base=shaped("deep")),
     "flat_structural": _q(LABELS, *STRUCTURAL, base=shaped("flat")),
-    "flat_location": _q(
-        "select transcript_id, case when strand not in ('+','-') then 'unstranded' else coalesce((select min(label) from af where af.transcript_id=tr.transcript_id), 'accepted') end label from tr",
-        STRANDED, antisense("an", "st"), _WANTED, antifrag("af", "wn", "0.5"), base=shaped("flat"),
-    ),
+    "flat_location": _q(LOCATION_LABELS, *LOCATION, base=shaped("flat")),
 }

@@ -13,6 +13,7 @@ from ..functions.intervals import chain, or_exons
 from ..functions.lineage import cut, shared_dir, until_exit
 from ..operators import finish, grouping, location, quantify, report, structure, support
 from ..sources import fasta, files, model, reads, sinks
+from ..streaming import incremental
 from . import adapter
 from .config import Config
 from .pipeline import Run
@@ -244,13 +245,28 @@ def _other_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, d: str) -> DataFrame:
-    """The first numbers of a whole run over the annotation as a reference, as its table of metrics has them."""
+    """The numbers of all stages of a whole run over the annotation as references, as its table of metrics has them."""
     at = folder(spark)
     put(spark, lines(spark, d), f"{at}/in")
     c = Config(f"{at}/out", "run", references=f"{at}/in")
     Run(spark, c)()
-    rows = spark.read.schema("Category string, File string, n long").option("header", True).option("sep", "\t").csv(c.folder("report", "pipeline_numbers"))
-    return rows.where("File like 'merged_redundancy%'")
+    return spark.read.schema("Category string, File string, n long").option("header", True).option("sep", "\t").csv(c.folder("report", "pipeline_numbers"))
+
+
+def _kept_up(spark: SparkSession, d: str) -> DataFrame:
+    """Transcripts that stay the longest of their chain or locus, after files that came one by one."""
+    at = folder(spark)
+    t = cut(adapter.transcripts(spark, d))
+    t.repartition(4, "transcript_id").write.parquet(f"{at}/in")
+    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    incremental.redundancy_state(stream, f"{at}/state", f"{at}/checkpoint").awaitTermination()
+    chains, loci = incremental.current(spark, f"{at}/state")
+    return chains.select("transcript_id").union(loci.select("transcript_id"))
+
+
+def _counts(spark: SparkSession, d: str) -> DataFrame:
+    counts, _ = support.junction_counts(adapter.junctions(spark, d))
+    return counts.select("sj", F.array_join(F.transform("reads", lambda n: n.cast("string")), ",").alias("reads"))
 
 
 def _shaped(name: str, f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -283,6 +299,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interpolated_percentiles": _interpolated,
     "other_numbers": _other_numbers,
     "run_metrics": _run,
+    "kept_up_winners": _kept_up,
+    "sj_counts": _counts,
     "deep_fragments": _shaped("deep", structure.fragments),
     "deep_structural": _shaped("deep", structure.structural),
     "deep_chimeric": _shaped("deep", lambda t: structure.chimeric(t)),

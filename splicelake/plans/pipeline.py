@@ -14,7 +14,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lineage import cut, exists
+from ..functions.lineage import bucketed, cut, exists
 from ..operators import finish, location, quantify, redundancy, report, structure, support
 from ..sources import fasta, files, model, reads, sinks
 from .config import Config
@@ -127,6 +127,7 @@ class Run:
         rows, t = parts[0]
         for more_rows, more in parts[1:]:
             rows, t = rows.unionByName(more_rows), cut(t.unionByName(more))
+        rows = bucketed(rows, "transcript_id")  # all writers join them by that
         u = self.stage("merged_redundancy", rows, t, lambda: redundancy.redundancy(t, c.semantics, "redundant" in c.disable))
         v = self.stage("merged_location", rows, u, lambda: location.location(u, None, c.antisense_len, c.add, c.semantics))
         decision = lru_cache(lambda: structure.decide(v, c.fragment_len, c.add, "chimeric" in c.disable, c.semantics))
@@ -149,7 +150,7 @@ class Run:
         reports(final, c.folder("report"))
         if c.sj_data:
             j = files.junctions(self.spark, c.sj_data)
-            sinks.write_table(support.junction_matrix(j), c.folder("report", "numbers_splice_junction_reads"), ["sj"])
+            sinks.write_matrix(*support.junction_counts(j), c.folder("report", "numbers_splice_junction_reads"))
             sinks.write_table(report.junction_percentiles(j), c.folder("report", "SJ_reads_percentiles"), ["sample", "percentile"])
         metrics = self.spark.createDataFrame(self.metrics, "Category string, File string, `Nº of transcripts` long")
         sinks.write_table(metrics.coalesce(1), c.folder("report", "pipeline_numbers"))

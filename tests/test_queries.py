@@ -11,7 +11,8 @@ from splicelake.plans.catalogue import ORACLE_SQL, QUERIES
 TABLES = "/root/testdata/sf0.001"
 SOME = (
     "nonredundant_identical redundant_subset refined_groups consensus_groups antisense_fragments sj_matrix transcripts_sj_supported abundance_labels reannotate_ids scaffold_counts length_percentiles length_outliers "
-    "gtf_rows gtf_model utr_regions gtf_tagged sj_files spliced_fasta padded_gtf renamed_gtf deep_structural flat_location other_numbers"
+    "gtf_rows gtf_model utr_regions gtf_tagged sj_files spliced_fasta padded_gtf renamed_gtf deep_structural flat_location other_numbers "
+    "fastq_records quantified kept_up_winners sj_counts"
 ).split()
 
 
