@@ -223,7 +223,7 @@ def _locations(spark: SparkSession, d: str) -> DataFrame:
 
 def _lookups(spark: SparkSession, d: str) -> DataFrame:
     at = folder(spark)
-    sinks.write_lookups(finish.reannotate(adapter.transcripts(spark, d), "NEW"), at)
+    sinks.write_lookups(cut(finish.reannotate(cut(adapter.transcripts(spark, d)), "NEW")), at)
     one = lambda kind: spark.read.option("header", True).csv(f"{at}/{kind}_ids").withColumn("kind", F.lit(kind))
     return one("gene").union(one("transcript"))
 
