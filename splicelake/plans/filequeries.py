@@ -173,10 +173,10 @@ def _quantified(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _utr(spark: SparkSession, d: str) -> DataFrame:
-    t = built(spark, d)
-    part = lambda name, c: t.select("transcript_id", F.lit(name).alias("region"), F.explode(c).alias("x"))
-    one = lambda name: part(name, F.filter(F.array(name), lambda x: x.isNotNull()))
-    return part("five_prime", "five_prime").union(part("three_prime", "three_prime")).union(one("start_codon")).union(one("stop_codon")).select("transcript_id", "region", "x.s", "x.e")
+    part = lambda name, c: F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: F.struct(F.lit(name).alias("region"), x["s"].alias("s"), x["e"].alias("e")))
+    of = {"five_prime": F.col("five_prime"), "three_prime": F.col("three_prime"), "start_codon": F.array("start_codon"), "stop_codon": F.array("stop_codon")}
+    parts = F.flatten(F.array(*[F.coalesce(part(name, c), F.array()) for name, c in of.items()]))
+    return built(spark, d).select("transcript_id", F.inline(parts))
 
 
 def _model(spark: SparkSession, d: str) -> DataFrame:
