@@ -258,8 +258,10 @@ def _kept_up(spark: SparkSession, d: str) -> DataFrame:
     """Transcripts that stay the longest of their chain or locus, after files that came one by one."""
     at = folder(spark)
     t = cut(adapter.transcripts(spark, d))
-    t.repartition(4, "transcript_id").write.parquet(f"{at}/in")
-    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    # four batches of many files, so that no task has a quarter of the rows
+    each = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    t.repartition(4 * each, "transcript_id").write.parquet(f"{at}/in")
+    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", each).parquet(f"{at}/in")
     incremental.redundancy_state(stream, f"{at}/state", f"{at}/checkpoint").awaitTermination()
     chains, loci = incremental.current(spark, f"{at}/state")
     return chains.select("transcript_id").union(loci.select("transcript_id"))
