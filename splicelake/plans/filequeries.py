@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,16 +22,36 @@ from .pipeline import Run
 #: Bases of a line of the test genome, those of a read, of a fragment at most, and of a k-mer.
 WIDTH, READ, FRAGMENT, KMER, STRIDE, ROUNDS = 64, 36, 60, 21, 10, 12
 
+#: Files that a task keeps open, and lines of a row of the test genome.
+OPEN, BLOCK = 32, 64
+
 
 def folder(spark: SparkSession) -> str:
     """A new folder that all executors share."""
     return until_exit(f"{shared_dir(spark)}/files-{uuid.uuid4().hex[:12]}")
 
 
+@contextmanager
+def at_once(spark: SparkSession) -> Iterator[None]:
+    """Tasks keep a few files open meanwhile, so lines without an order needn't be sorted by file."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, OPEN)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def put(spark: SparkSession, lines: DataFrame, at: str, *order: str) -> str:
     """Lines (``file, value``) as files of those names under a folder, which formats that go by the name of a file need. Each is written by a task, in ``order``, and then renamed."""
     parts = f"{at}/_parts"
-    lines.repartition("file").sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(parts)
+    dealt = lines.repartition("file")
+    if order:
+        dealt.sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(parts)
+    else:
+        with at_once(spark):
+            dealt.select("file", "value").write.partitionBy("file").text(parts)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     store = path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -112,8 +133,12 @@ def genome(spark: SparkSession, d: str) -> str:
     """A folder of FASTA files, one for each known sequence that has exons: bases from digests of names and places."""
     tops = adapter.exons(spark, d).groupBy("seqname").agg(F.max("e").alias("e")).where(F.col("seqname").isin(*adapter.KNOWN))
     chunk = lambda k: F.translate(F.md5(F.concat("seqname", F.lit(":"), k.cast("string")).cast("binary")), "0123456789abcdef", "ACGT" * 4)
-    rows = tops.select("seqname", F.explode(F.sequence(F.lit(-1).cast("long"), F.floor(F.col("e") / WIDTH))).alias("i"))
-    value = F.when(F.col("i") < 0, F.concat(F.lit(">"), "seqname", F.lit(" made"))).otherwise(F.concat(chunk(F.col("i") * 2), chunk(F.col("i") * 2 + 1)))
+    # many lines a row: a file is one task's, which sorts them
+    top = F.floor(F.col("e") / WIDTH)
+    rows = tops.select("seqname", top.alias("top"), F.explode(F.sequence(F.lit(-1).cast("long"), F.floor(top / BLOCK))).alias("i"))
+    here = F.sequence(F.col("i") * BLOCK, F.least(F.col("i") * BLOCK + BLOCK - 1, "top"))
+    bases = F.array_join(F.transform(here, lambda k: F.concat(chunk(k * 2), chunk(k * 2 + 1))), "\n")
+    value = F.when(F.col("i") < 0, F.concat(F.lit(">"), "seqname", F.lit(" made"))).otherwise(bases)
     return put(spark, rows.select(F.concat("seqname", F.lit(".fa")).alias("file"), "i", value.alias("value")), folder(spark), "i")
 
 
