@@ -217,13 +217,13 @@ def _written(spark: SparkSession, d: str) -> DataFrame:
 
 def _padded(spark: SparkSession, d: str) -> DataFrame:
     rows, at = annotation(spark, d), f"{folder(spark)}/padded"
-    sinks.write_modified_gtf(rows, finish.padded(model.build(rows)[0]), at)
+    sinks.write_modified_gtf(rows, cut(finish.padded(cut(model.build(rows)[0])).select("transcript_id", "padded")), at)
     return files.gtf(spark, at).select("feature", "transcript_id", "s", "e", "score")
 
 
 def _renamed(spark: SparkSession, d: str) -> DataFrame:
     rows, at = annotation(spark, d), f"{folder(spark)}/renamed"
-    sinks.write_renamed_gtf(rows, finish.reannotate(model.build(rows)[0], "NEW"), at)
+    sinks.write_renamed_gtf(rows, cut(finish.reannotate(cut(model.build(rows)[0]), "NEW")), at)
     return files.gtf(spark, at).select("feature", "transcript_id", "gene_id", "s", "e")
 
 
