@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from splicelake.operators import quantify
+from splicelake.plans import filequeries
+from splicelake.sources import reads, sinks
 
 
 @pytest.fixture(scope="module")
@@ -55,3 +57,50 @@ def test_kmers_that_transcripts_share_are_one_row_of_a_batch(isoforms):
     found = quantify.index(isoforms[0].coalesce(1), 21)
     each = isoforms[0].select(F.explode(F.array_distinct(quantify.kmers(F.col("sequence"), 21)))).count()
     assert found.local.select(F.sum(F.size("kmers"))).first()[0] < each and found.of.count() <= each
+
+
+def test_lines_of_a_record_stay_where_they_are(spark, tmp_path):
+    (tmp_path / "a.fastq").write_text("".join(f"@r{k}\nACGT\n+\nIIII\n" for k in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = reads.records(spark, str(tmp_path))
+        assert rows.where("intact").count() == 2000
+        held = moved(spark, lambda: rows.write.format("noop").mode("overwrite").save())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sum(held) < 300  # rows: counts of splits, and lines of records at their ends
+
+
+def moved(spark, run):
+    """Rows that each stage of a run wrote for others."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    stages = lambda: {x.stageId(): x.shuffleWriteRecords() for s in [sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())] for x in (s.apply(i) for i in range(s.size()))}
+    before = set(stages())
+    run()
+    return [n for i, n in stages().items() if i not in before]
+
+
+def test_lines_are_made_where_they_are_written(spark, tmp_path):
+    rows = spark.createDataFrame([(f"{k % 2}.txt", k) for k in range(20)], "file string, k long")
+    filequeries.put(spark, rows, f"file://{tmp_path}/in", "k", value=F.concat(F.lit("line "), "k").alias("value"))
+    for r in (0, 1):
+        assert (tmp_path / "in" / f"{r}.txt").read_text().split("\n")[:-1] == [f"line {k}" for k in range(r, 20, 2)]
+
+
+def test_transcripts_of_one_piece_move_whole(spark):
+    rng = random.Random(3)
+    text = "".join(rng.choice("ACGT") for _ in range(3 * sinks.PIECE))
+    rows = [(f"t{k}", "c", "+-"[k % 2], [(a, a + 30), (a + 50, a + 90)]) for k in range(400) for a in [rng.randrange(1, 2 * sinks.PIECE)]]
+    rows += [("far", "c", "+", [(sinks.PIECE - 5, sinks.PIECE + 5), (2 * sinks.PIECE, 2 * sinks.PIECE + 1)]), ("end", "c", "-", [(len(text) - 1, len(text) + 9)]), ("off", "d", "+", [(1, 2)])]
+    t = spark.createDataFrame(rows, "transcript_id string, seqname string, strand string, exons array<struct<s: long, e: long>>")
+    found = sinks.spliced(t, spark.createDataFrame([("c", text)], "seqname string, sequence string"))
+    back = lambda x: x.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    whole = {i: "".join(text[s - 1 : e] for s, e in x) for i, c, _, x in rows if c == "c"}
+    assert {r[0]: r[1] for r in found.collect()} == {i: back(whole[i]) if st == "-" else whole[i] for i, _, st, _ in rows if i in whole}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sum(moved(spark, lambda: found.write.format("noop").mode("overwrite").save())) < 600  # 400 transcripts of 800 exons
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
