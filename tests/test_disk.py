@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from splicelake.operators import quantify
+from splicelake.functions.lineage import cut
+from splicelake.operators import quantify, structure
 from splicelake.plans import filequeries
-from splicelake.sources import reads, sinks
+from splicelake.sources import model, reads, sinks
 
 
 @pytest.fixture(scope="module")
@@ -104,3 +105,23 @@ def test_transcripts_of_one_piece_move_whole(spark):
         assert sum(moved(spark, lambda: found.write.format("noop").mode("overwrite").save())) < 600  # 400 transcripts of 800 exons
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_models_are_put_together_once(spark):
+    at = [("c", "exon", "t1", "g", 5, 9), ("c", "CDS", "t1", "g", 6, 8), ("c", "transcript", "t2", "g", 1, 9)]
+    rows = spark.createDataFrame([(*x, "+", 'gene_id "g";', "f", k) for k, x in enumerate(at)], "seqname string, feature string, transcript_id string, gene_id string, s long, e long, strand string, attr string, file_tag string, line_no long")
+    t, missing = model.build(rows)
+    plan = t._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
+    assert [(r["transcript_id"], len(r["cds"]), r["five_prime"][0]["e"]) for r in t.collect()] == [("t1", 1, 5)] and [r[0] for r in missing.collect()] == ["t2"]
+
+
+def test_loci_are_told_apart_once(spark, monkeypatch):
+    rows = [("c", "+", "g", i, s, e) for i, x in {"a": [(1, 50), (90, 120)], "b": [(10, 60), (95, 130)], "z": [(500, 600)]}.items() for s, e in x]
+    t = cut(model.transcripts(spark.createDataFrame(rows, "seqname string, strand string, gene_id string, transcript_id string, s long, e long")))
+    seen = []
+    kept = structure.fragments
+    monkeypatch.setattr(structure, "fragments", lambda rows, *x: (seen.append(rows), kept(rows, *x))[1])
+    assert {r["label"] for r in structure.structural(t).collect()} == {"accepted"}
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" not in plan
